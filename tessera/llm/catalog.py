@@ -4,13 +4,29 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup
+from . import byte_bpe, exact_dedup, simhash, token_blocks
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return byte_bpe.digests(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op3_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_blocks.read_files(token_blocks.write_files(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json")))
+
+
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_copies(_documents(spark, sf_dir))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decisions(_documents(spark, sf_dir))
 
@@ -26,7 +42,12 @@ FROM documents
 
 
 def queries() -> dict:
-    return {"op10_exact_dedup": op10_exact_dedup}
+    return {
+        "op2_byte_bpe": op2_byte_bpe,
+        "op3_token_blocks": op3_token_blocks,
+        "op8_simhash": op8_simhash,
+        "op10_exact_dedup": op10_exact_dedup,
+    }
 
 
 def oracle_sql() -> dict[str, str]:

@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 #: Where work tables go if the session names no shared folder (local runs and tests).
@@ -57,7 +58,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE_BYT
         col = batch.column(batch.schema.get_field_index(column))
         if batch.num_rows == 0:
             continue
-        lengths = np.nan_to_num(pa.compute.binary_length(col).to_numpy(zero_copy_only=False).astype(np.float64))
+        lengths = np.nan_to_num(pc.binary_length(col).to_numpy(zero_copy_only=False).astype(np.float64))
         start, ends = 0, np.cumsum(lengths)
         base = 0.0
         for i in range(batch.num_rows):
