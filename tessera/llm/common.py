@@ -30,7 +30,7 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/tessera/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
+def written(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     """df as a table in the shared folder: lineage ends there, and a lost executor costs nothing."""
     spark = df.sparkSession
     path = work_path(spark, name)

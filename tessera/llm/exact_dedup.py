@@ -36,7 +36,7 @@ def combine(docs: DataFrame, id_col: str, text_col: str, salts: int = SALTS, dig
 
 def decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = SALTS, digest=sha256_hex) -> DataFrame:
     """Per row of docs: doc_id, keep_id, group_size, kept, text_sha256."""
-    winners = written(combine(docs, id_col, text_col, salts, digest).select("dx", "keep_id", "group_size"), "exact-winners")
+    winners = written(combine(docs, id_col, text_col, salts, digest).select("dx", "keep_id", "group_size"), "exact-winners", codec="none")
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("tx"), digest(text).alias("dx"))
     clashes = winners.groupBy("dx").count().where("count > 1").select("dx")
