@@ -4,13 +4,39 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, exact_dedup, simhash, token_blocks
+from . import byte_bpe, decontaminate, exact_dedup, simhash, token_blocks
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontaminate.digests(decontaminate.matches(_documents(spark, sf_dir), benchmark))
+
+
+_WORDS_SQL = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+OP1_SQL = f"""
+WITH d AS (SELECT doc_id, {_WORDS_SQL} AS w FROM documents),
+items AS (SELECT item_id, {_WORDS_SQL} AS w FROM benchmark WHERE item_id IS NOT NULL),
+sized AS (SELECT item_id, w, least(10, len(w)) AS size FROM items WHERE len(w) > 0),
+phrases AS (
+  SELECT DISTINCT item_id, size, array_to_string(w[i:i + size - 1], ' ') AS phrase
+  FROM (SELECT item_id, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM sized)),
+sizes AS (SELECT DISTINCT size FROM phrases),
+places AS (
+  SELECT doc_id, size, i, array_to_string(w[i:i + size - 1], ' ') AS phrase
+  FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM d, sizes WHERE len(w) >= size)),
+found AS (SELECT p.doc_id, p.i, p.size, q.item_id FROM places p JOIN phrases q ON p.phrase = q.phrase AND p.size = q.size),
+hits AS (SELECT doc_id, count(DISTINCT k) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + size)) AS k FROM found) GROUP BY doc_id),
+named AS (SELECT doc_id, list(DISTINCT CAST(item_id AS VARCHAR)) AS ids FROM found GROUP BY doc_id)
+SELECT d.doc_id, len(d.w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(len(ids), 0) AS n_items,
+       sha256(coalesce(array_to_string(list_sort(ids), ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -43,6 +69,7 @@ FROM documents
 
 def queries() -> dict:
     return {
+        "op1_decontaminate": op1_decontaminate,
         "op2_byte_bpe": op2_byte_bpe,
         "op3_token_blocks": op3_token_blocks,
         "op8_simhash": op8_simhash,
@@ -51,4 +78,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_exact_dedup": OP10_SQL}
+    return {"op1_decontaminate": OP1_SQL, "op10_exact_dedup": OP10_SQL}
