@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import byte_bpe, decontaminate, exact_dedup, simhash, token_blocks
+from . import byte_bpe, decontaminate, exact_dedup, language, quality, simhash, token_blocks
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,10 +50,23 @@ def op3_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_blocks.read_files(token_blocks.write_files(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json")))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    machine = quality.fit(docs, labels, train_rows=~quality.held_out())
+    scored = quality.score(docs, machine)
+    return scored.select("doc_id", quality.held_out().alias("held_out"), "score", (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_copies(_documents(spark, sf_dir))
 
 
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    model = language.fit(docs, train=~language.held_out())
+    return language.predict(docs, model).select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score", "languages")
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decisions(_documents(spark, sf_dir))
 
@@ -72,7 +86,9 @@ def queries() -> dict:
         "op1_decontaminate": op1_decontaminate,
         "op2_byte_bpe": op2_byte_bpe,
         "op3_token_blocks": op3_token_blocks,
+        "op4_quality": op4_quality,
         "op8_simhash": op8_simhash,
+        "op9_language": op9_language,
         "op10_exact_dedup": op10_exact_dedup,
     }
 
