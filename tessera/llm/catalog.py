@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, decontaminate, exact_dedup, language, quality, simhash, token_blocks
+from . import byte_bpe, decontaminate, exact_dedup, language, quality, simhash, suffix_dedup, token_blocks
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,6 +57,10 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", quality.held_out().alias("held_out"), "score", (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeats(_documents(spark, sf_dir))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_copies(_documents(spark, sf_dir))
 
@@ -87,6 +91,7 @@ def queries() -> dict:
         "op2_byte_bpe": op2_byte_bpe,
         "op3_token_blocks": op3_token_blocks,
         "op4_quality": op4_quality,
+        "op5_suffix_dedup": op5_suffix_dedup,
         "op8_simhash": op8_simhash,
         "op9_language": op9_language,
         "op10_exact_dedup": op10_exact_dedup,
