@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, decontaminate, exact_dedup, language, quality, simhash, suffix_dedup, token_blocks
+from . import byte_bpe, decontaminate, exact_dedup, language, line_dedup, quality, sharding, simhash, suffix_dedup, token_blocks
+from .common import work_path
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,6 +62,23 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.repeats(_documents(spark, sf_dir))
 
 
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the shard that holds it after compaction."""
+    store = sharding.ShardStore(spark, work_path(spark, "shards"))
+    store.append(_documents(spark, sf_dir))
+    store.compact()
+    store.vacuum()
+    stored = store.read()
+    if stored is None:
+        stored = _documents(spark, sf_dir).limit(0).withColumn("shard_file", F.lit(""))
+    placed = stored.join(store.shards(), "shard_file")
+    return placed.select("doc_id", "shard", "shard_rows", "shard_bytes", "merged_from", F.octet_length(F.coalesce("text", F.lit(""))).cast("bigint").alias("n_bytes"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
+
+
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.decisions(_documents(spark, sf_dir))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_copies(_documents(spark, sf_dir))
 
@@ -92,6 +110,8 @@ def queries() -> dict:
         "op3_token_blocks": op3_token_blocks,
         "op4_quality": op4_quality,
         "op5_suffix_dedup": op5_suffix_dedup,
+        "op6_sharding": op6_sharding,
+        "op7_line_dedup": op7_line_dedup,
         "op8_simhash": op8_simhash,
         "op9_language": op9_language,
         "op10_exact_dedup": op10_exact_dedup,
