@@ -166,19 +166,25 @@ def digests(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_i
     return rows.mapInArrow(_digest_rows(ranks_path, pattern, id_col, text_col), f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
 
 
-def encode(docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text", into: str = "token_ids") -> DataFrame:
-    """docs with the ids as array<int> in column `into`."""
+def encode(docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text", into: str = "token_ids", checked: bool = False) -> DataFrame:
+    """docs with the ids as array<int> in column `into`; if checked, also n_tokens, ids_sha256 and decoded_sha256."""
     small_batches(docs.sparkSession)
-    schema = T.StructType([f for f in docs.schema if f.name != into] + [T.StructField(into, T.ArrayType(T.IntegerType()))])
-    rows = docs.select(*[f.name for f in schema if f.name != into])
+    more = ["n_tokens", "ids_sha256", "decoded_sha256"] if checked else []
+    kept = [f for f in docs.schema if f.name not in {into, *more}]
+    schema = T.StructType(kept + [T.StructField(into, T.ArrayType(T.IntegerType()))] + [T.StructField(x, T.LongType() if x == "n_tokens" else T.StringType()) for x in more])
+    rows = docs.select(*[f.name for f in kept])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(read_ranks(ranks_path), pattern)
         for table in slices(batches, text_col):
-            ids = [np.frombuffer(codec.encode(x), "<i4") for x in column_text(table, text_col)]
-            ends = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
-            flat = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32)))
-            yield from table.append_column(into, flat).combine_chunks().to_batches()
+            packed = [codec.encode(x) for x in column_text(table, text_col)]
+            ends = np.concatenate([[0], np.cumsum([len(x) // 4 for x in packed])]).astype(np.int32)
+            out = table.append_column(into, pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(packed), "<i4"))))
+            if checked:
+                out = out.append_column("n_tokens", pa.array(np.diff(ends).astype(np.int64)))
+                out = out.append_column("ids_sha256", pa.array([hashlib.sha256(x).hexdigest() for x in packed], pa.string()))
+                out = out.append_column("decoded_sha256", pa.array([hashlib.sha256(codec.decode(x)).hexdigest() for x in packed], pa.string()))
+            yield from out.combine_chunks().to_batches()
 
     return rows.mapInArrow(run, schema)
 

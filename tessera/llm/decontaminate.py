@@ -12,7 +12,7 @@ broadcast has that bound whatever the benchmark's size.
 Defined cases: null and empty texts have no words and match nothing; items without words or
 with a null id match nothing; items that repeat an id are one item; rows that repeat a
 doc_id each get a row; empty tables give no rows or no matches; other columns are ignored by
-`matches` and kept by `drop_contaminated` and `cut_spans`.
+`matches` and kept by `drop_contaminated`.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import column_bytes, slices, small_batches, written
+from .common import column_bytes, slices, small_batches
 from .fm_index import FMIndex
 
 WINDOW = 10
@@ -199,11 +199,23 @@ def digests(found: DataFrame) -> DataFrame:
     )
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """docs without the rows that hold a phrase of the benchmark, all columns kept."""
-    found = matches(docs, benchmark, id_col, text_col, **how)
-    gone = written(found.where(F.size("spans") > 0).select(F.col("doc_id").alias("gone_id")), "contaminated", codec="none")
-    return docs.join(gone, docs[id_col] == gone["gone_id"], "left_anti")
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """docs without the rows that hold a phrase of the benchmark, all columns kept; one pass for each block of items."""
+    spark = docs.sparkSession
+    small_batches(spark)
+
+    def clean(shared):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for table in slices(batches, text_col, SHARD_BYTES):
+                _, spans, _ = search_shard(column_bytes(table, text_col), shared.value)
+                yield from table.filter(pa.array([not x for x in spans])).combine_chunks().to_batches()
+
+        return run
+
+    left = docs
+    for block in item_blocks(benchmark, item_col, item_text_col, block_bytes):
+        left = left.mapInArrow(clean(spark.sparkContext.broadcast(Phrases(block, window))), docs.schema)
+    return left
 
 
 def cut_spans(text: bytes, spans: list[tuple[int, int]]) -> bytes:

@@ -155,21 +155,24 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     return Model(languages, table)
 
 
+def _judge(model: Model, texts: list[bytes]) -> tuple[list[str], np.ndarray, list[list[str]]]:
+    """Prediction, score and chosen set of each text."""
+    lang, score, sets = [UNKNOWN] * len(texts), np.zeros(len(texts)), [[] for _ in texts]
+    known = [i for i, x in enumerate(texts) if model.languages and has_letter(x)]
+    if known:
+        share, sizes = model.infer([texts[i] for i in known])
+        best = share.argmax(axis=1)
+        score[known] = (share[np.arange(len(known)), best] * sizes + 1 / len(model.languages)) / (sizes + 1)
+        for i, b, row in zip(known, best, share, strict=True):
+            lang[i] = model.languages[b]
+            sets[i] = [model.languages[k] for k in np.argsort(-row, kind="stable") if row[k] > 0]
+    return lang, score, sets
+
+
 def _predict(shared, id_col: str, text_col: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
         for table in slices(batches, text_col, 2 << 20):
-            texts = column_bytes(table, text_col)
-            lang, score, sets = [UNKNOWN] * len(texts), np.zeros(len(texts)), [[] for _ in texts]
-            known = [i for i, x in enumerate(texts) if model.languages and has_letter(x)]
-            if known:
-                share, sizes = model.infer([texts[i] for i in known])
-                m = len(model.languages)
-                best = share.argmax(axis=1)
-                score[known] = (share[np.arange(len(known)), best] * sizes + 1 / m) / (sizes + 1)
-                for i, b, row in zip(known, best, share, strict=True):
-                    lang[i] = model.languages[b]
-                    sets[i] = [model.languages[k] for k in np.argsort(-row, kind="stable") if row[k] > 0]
+            lang, score, sets = _judge(shared.value, column_bytes(table, text_col))
             yield pa.RecordBatch.from_arrays(
                 [table.column(id_col).combine_chunks(), pa.array(lang, pa.string()), pa.array(score), pa.array(sets, pa.list_(pa.string()))],
                 names=["doc_id", "lang_pred", "score", "languages"],
@@ -190,9 +193,14 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.pmod(F.crc32(F.col(id_col).cast("string")), F.lit(3)) == 1, F.lit(False))
 
 
-def drop_unknown(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", least: float = LEAST_SCORE) -> DataFrame:
+def drop_unknown(docs: DataFrame, model: Model, text_col: str = "text", least: float = LEAST_SCORE) -> DataFrame:
     """docs without those that have no language or too small a share of the one they have, all columns kept."""
-    from .common import written
+    small_batches(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in slices(batches, text_col, 2 << 20):
+            lang, score, _ = _judge(shared.value, column_bytes(table, text_col))
+            yield from table.filter(pa.array([x != UNKNOWN and s >= least for x, s in zip(lang, score, strict=True)])).combine_chunks().to_batches()
 
-    gone = written(predict(docs, model, id_col, text_col).where((F.col("lang_pred") == UNKNOWN) | (F.col("score") < least)).select(F.col("doc_id").alias("gone_id")), "no-language", codec="none")
-    return docs.join(gone, docs[id_col].eqNullSafe(gone["gone_id"]), "left_anti")
+    return docs.mapInArrow(run, docs.schema)

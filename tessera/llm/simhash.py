@@ -53,17 +53,22 @@ def fingerprint(text: bytes, words: int = WORDS) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
 
 
+def text_hash(text_col: str):
+    """With the id, what tells rows apart that repeat an id."""
+    return F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+
+
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS) -> DataFrame:
-    """Per row: doc_id, fp (the fingerprint as a signed long)."""
+    """Per row: doc_id, th (hash of the text), fp (the fingerprint as a signed long)."""
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in slices(batches, text_col):
             fp = np.array([fingerprint(x, words) for x in column_bytes(table, text_col)], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([table.column(id_col).combine_chunks(), pa.array(fp)], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([table.column(id_col).combine_chunks(), table.column("th").combine_chunks(), pa.array(fp)], names=["doc_id", "th", "fp"])
 
-    rows = docs.select(F.col(id_col).cast("bigint").alias(id_col), text_col)
-    return rows.mapInArrow(run, "doc_id bigint, fp bigint")
+    rows = docs.select(F.col(id_col).cast("bigint").alias(id_col), text_col, text_hash(text_col).alias("th"))
+    return rows.mapInArrow(run, "doc_id bigint, th bigint, fp bigint")
 
 
 def bit_planes(fp: np.ndarray) -> np.ndarray:
@@ -203,18 +208,24 @@ def links(distinct: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) -> Da
     return sorted_rows.mapInArrow(_pairs_within(radius, blocks), "a bigint, b bigint")
 
 
-def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
-    """Per row of docs: doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable)."""
+def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
+    """Per row of docs: doc_id, th, fp, component_id."""
     spark = docs.sparkSession
     prints = written(fingerprints(docs, id_col, text_col, words), "fingerprints", codec="none")
     distinct = written(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")), "distinct-fingerprints", codec="none")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50000")
-    groups = components(links(distinct, radius, blocks))
-    of = distinct.join(groups.withColumnRenamed("node", "rep"), "rep", "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
-    return prints.join(of, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    joined = components(links(distinct, radius, blocks))
+    of = distinct.join(joined.withColumnRenamed("node", "rep"), "rep", "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
+    return prints.join(of, "fp")
+
+
+def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """Per row of docs: doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable)."""
+    return groups(docs, id_col, text_col, **how).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """docs with the row of the smallest id of each group, all columns kept."""
-    gone = near_copies(docs, id_col, text_col, **how).where("doc_id <> component_id").select(F.col("doc_id").alias("gone_id"))
-    return docs.join(gone, docs[id_col] == gone["gone_id"], "left_anti")
+    """docs with the smallest id of each group, all columns kept; rows without an id stay."""
+    late = groups(docs, id_col, text_col, **how).where("doc_id <> component_id")
+    gone = written(late.select(F.col("doc_id").alias("gone_id"), F.col("th").alias("gone_th")).distinct(), "near-gone", codec="none")
+    return docs.join(gone, (docs[id_col] == gone["gone_id"]) & (text_hash(text_col) == gone["gone_th"]), "left_anti")
