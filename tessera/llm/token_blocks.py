@@ -19,8 +19,12 @@ other columns are ignored.
 
 from __future__ import annotations
 
+import os
+import re
+import struct
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -133,14 +137,20 @@ class Reader:
         return whole[start - a * BLOCK :][:count]
 
 
+#: Marks behind a letter or digit and before white space; apostrophes stay, as the splitter has contractions.
+_TRAILING = re.compile(rb"(?<=[A-Za-z0-9])([!-&(-/:-@\[-`{-~]+)(?=[ \t-\r]|\Z)")
+
+
 class Words:
     """Ids of a text by the tokenizers library, remembered for each run between ASCII white space.
 
     The vocabulary's normaliser and splitter treat white space as a separator only, so the
-    ids of a text are those of its runs in order.
+    ids of a text are those of its runs in order; marks that end a run behind a letter or
+    digit are a run of their own, as the splitter parts them there too.
     """
 
-    def __init__(self, path: str, memory: int = 200_000):
+    def __init__(self, path: str, memory: int = 600_000):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -149,25 +159,29 @@ class Words:
         self.memory = memory
 
     def encode(self, text: bytes) -> bytes:
-        runs, known = text.split(), self.known
-        new = [x for x in set(runs) if x not in known]
+        runs, known = _TRAILING.sub(rb" \1", text).split(), self.known
+        new = list(set(runs).difference(known))
         if new:
             if len(known) + len(new) > self.memory:
                 known.clear()
                 new = list(set(runs))
-            for x, e in zip(new, self.tokenizer.encode_batch([x.decode() for x in new], add_special_tokens=False), strict=True):
-                known[x] = np.array(e.ids, "<u4").tobytes()
+            for x, e in zip(new, self.tokenizer.encode_batch_fast([x.decode() for x in new], add_special_tokens=False), strict=True):
+                ids = e.ids
+                known[x] = struct.pack(f"<{len(ids)}I", *ids)
         return b"".join(map(known.__getitem__, runs))
 
 
+@lru_cache(maxsize=1)
+def worker_words(path: str) -> Words:
+    """The words that this worker process knows, kept from task to task."""
+    return Words(path)
+
+
 def _to_files(path: str, end_id: int, id_col: str, text_col: str, file_ids: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import os
-
         from pyspark import TaskContext
 
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        words, task, part = Words(path), TaskContext.get().partitionId(), 0
+        words, task, part = worker_words(path), TaskContext.get().partitionId(), 0
         end = np.array([end_id], "<u4").tobytes()
         docs: list = []
         counts: list[int] = []
