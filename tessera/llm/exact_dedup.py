@@ -52,11 +52,17 @@ def decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     return joined.select("doc_id", "keep_id", "group_size", F.coalesce(F.col("doc_id").eqNullSafe(F.col("keep_id")), F.lit(False)).alias("kept"), sha.alias("text_sha256"))
 
 
-def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with one row of each text, all columns kept."""
-    gone = written(decisions(docs, id_col, text_col).where("not kept").select(F.col("doc_id").alias("gone_id"), F.col("text_sha256").alias("gone_sha")), "exact-gone", codec="none")
-    same = docs[id_col].eqNullSafe(gone["gone_id"]) & (sha256_hex(F.coalesce(docs[text_col], F.lit(""))) == gone["gone_sha"])
-    left = docs.join(gone, same, "left_anti")
-    repeated = docs.groupBy(id_col).count().where("count > 1").limit(1)
-    # Rows that repeat an id and its text are told apart by nothing else than being two.
-    return left if repeated.isEmpty() else left.dropDuplicates([id_col, text_col])
+def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = SALTS) -> DataFrame:
+    """docs with one row of each text, that of the largest id, all columns kept.
+
+    The combining steps carry the row along, so what they end with is the result and the
+    documents are read once. Of rows that repeat an id the other columns decide.
+    """
+    others = [id_col, *(c for c in docs.columns if c not in (id_col, text_col))]
+    text = F.coalesce(docs[text_col], F.lit(""))
+    row = F.struct(*[docs[c].alias(f"r{i}") for i, c in enumerate(others)], docs[text_col].isNotNull().alias("given"))
+    rows = docs.select(text.alias("tx"), sha256_hex(text).alias("dx"), F.pmod(F.spark_partition_id(), F.lit(salts)).alias("sx"), row.alias("rx"))
+    salted = rows.groupBy("dx", "sx", "tx").agg(F.max("rx").alias("rx"))
+    whole = salted.groupBy("dx", "tx").agg(F.max("rx").alias("rx"))
+    back = {c: F.col(f"rx.r{i}") for i, c in enumerate(others)} | {text_col: F.when(F.col("rx.given"), F.col("tx"))}
+    return whole.select(*[back[c].alias(c) for c in docs.columns])
