@@ -160,7 +160,14 @@ class ShardStore:
         whole = parts[0]
         for part in parts[1:]:
             whole = whole.union(part)
-        whole.write.option("compression", "snappy").parquet(folder)
+        # A union of one-task parts must stay one task a part.
+        setting = "spark.sql.unionOutputPartitioning"
+        before = self.spark.conf.get(setting, None)
+        self.spark.conf.set(setting, "false")
+        try:
+            whole.write.option("compression", "snappy").parquet(folder)
+        finally:
+            self.spark.conf.unset(setting) if before is None else self.spark.conf.set(setting, before)
         files = self._written(folder)
         if [task for task, _, _ in files] != list(range(len(runs))):
             raise RuntimeError("a run did not become one file")
