@@ -16,6 +16,7 @@ import base64
 import hashlib
 import struct
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,7 @@ from pyspark.sql import types as T
 from .common import column_text, slices, small_batches
 
 #: Pre-tokens whose ids a worker remembers.
-MEMORY = 200_000
+MEMORY = 500_000
 _SHIFT = {b: chr(0x100 + b) for b in range(256)}
 _BACK = {0x100 + b: chr(b) for b in range(256)}
 _LATER = regex.compile(r"[^\x00-ɏ]")
@@ -107,7 +108,7 @@ class Codec:
         if not text:
             return b""
         parts, known = self.pre_tokens(text), self.known
-        new = [p for p in set(parts) if p not in known]
+        new = list(set(parts).difference(known))
         if new:
             if len(known) + len(new) > MEMORY:
                 known.clear()
@@ -128,6 +129,12 @@ class Codec:
         return b"".join(map(self.pieces.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
+@lru_cache(maxsize=1)
+def worker_codec(ranks_path: str, pattern: str) -> Codec:
+    """The codec of this worker process, kept from task to task."""
+    return Codec(read_ranks(ranks_path), pattern)
+
+
 def newer_letters():
     """A pattern of what `regex` calls a letter or number and tiktoken doesn't; False if there is nothing."""
     import tiktoken
@@ -142,7 +149,7 @@ def newer_letters():
 
 def _digest_rows(ranks_path: str, pattern: str, id_col: str, text_col: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(read_ranks(ranks_path), pattern)
+        codec = worker_codec(ranks_path, pattern)
         for table in slices(batches, text_col):
             counts, ids_sha, back_sha = [], [], []
             for text in column_text(table, text_col):
@@ -175,7 +182,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text
     rows = docs.select(*[f.name for f in kept])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(read_ranks(ranks_path), pattern)
+        codec = worker_codec(ranks_path, pattern)
         for table in slices(batches, text_col):
             packed = [codec.encode(x) for x in column_text(table, text_col)]
             ends = np.concatenate([[0], np.cumsum([len(x) // 4 for x in packed])]).astype(np.int32)
@@ -196,7 +203,7 @@ def decode(tokens: DataFrame, ranks_path: str, pattern: str, ids_col: str = "tok
     rows = tokens.select(*[f.name for f in schema if f.name != into])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(read_ranks(ranks_path), pattern)
+        codec = worker_codec(ranks_path, pattern)
         for batch in batches:
             out = [codec.decode(np.asarray(x or [], "<u4").tobytes()) for x in batch.column(batch.schema.get_field_index(ids_col)).to_pylist()]
             yield from pa.Table.from_batches([batch]).append_column(into, pa.array(out, pa.binary())).combine_chunks().to_batches()
