@@ -79,8 +79,9 @@ def store_rows(store: DataFrame) -> DataFrame:
 
 def write_store(store: DataFrame, path: str, exist_ok: bool = False) -> None:
     """Parquet by source and country; an existing store stops it unless exist_ok, and so does a result without rows."""
-    store_rows(store).write.mode("overwrite" if exist_ok else "errorifexists").option("compression", "zstd").partitionBy("src", "country").parquet(path)
-    if store.sparkSession.read.parquet(path).isEmpty():
+    rows = store_rows(store)
+    rows.write.mode("overwrite" if exist_ok else "errorifexists").option("compression", "zstd").partitionBy("src", "country").parquet(path)
+    if store.sparkSession.read.schema(rows.schema).parquet(path).isEmpty():
         raise ValueError(f"0 rows written to {path}")
 
 
