@@ -1,15 +1,16 @@
 """Fuzzy line dedup with DataFrame functions alone.
 
-Lines are normalised (lower case, what is no letter or digit to one space, digit runs to 0) and
-identified by the MD5 of that. A line's SimHash counts the bits of its words' hashes: eight
-sums hold eight byte-wide counters each, over at most 127 words; longer lines add up their
+Lines are normalised (lower case, ASCII that is no letter or digit to one space, digit runs to 0)
+and identified by two 64-bit hashes of that. A line's SimHash counts the bits of its words' hashes: eight
+sums hold eight byte-wide counters each, over at most 63 words; longer lines add up their
 parts' counters. Distinct fingerprints are joined on pigeonhole blocks: 3 differing bits leave
 two of five blocks alone. Candidates within the radius whose normalised lines have an edit
 similarity of 0.8 or more are linked, and of every connected group of lines the first
 occurrence (smallest doc_id, then line number) stays.
 
-Lines with one fingerprint are verified against the smallest of them, round after round over
-those it does not cover, so a large group of variants costs its size and not its square.
+Lines with one fingerprint are first verified against the smallest of them, and fingerprints
+against each other by those. Only pairs of lines that this leaves in different groups are compared
+one by one, so a large group of variants costs its size and not its square, and no link is lost.
 
 Defined cases: lines without letters and digits are always kept; null and empty texts have one
 empty line; a null id sorts before all others; rows that repeat an id count as one document
@@ -31,7 +32,7 @@ RADIUS = 3
 BLOCKS = 5
 SIMILARITY = 0.8
 #: Words whose counters fit a signed sum.
-PART = 127
+PART = 63
 
 _WIDTHS = [64 // BLOCKS + (i < 64 % BLOCKS) for i in range(BLOCKS)]
 _LANE_BITS = -0x7FBFDFEFF7FBFDFF  # 0x8040201008040201: bit i of lane i
@@ -40,8 +41,8 @@ _LANE_ONES = 0x0101010101010101
 
 
 def normalised(line: Column) -> Column:
-    plain = F.regexp_replace(F.lower(line), r"[^\p{L}\p{N}]+", " ")
-    return F.trim(F.regexp_replace(plain, r"\p{N}+", "0"))
+    plain = F.regexp_replace(F.lower(line), r"[\x00-/:-`{-\x7F]+", " ")
+    return F.trim(F.regexp_replace(plain, "[0-9]+", "0"))
 
 
 def _lane(h: Column, k: int) -> Column:
@@ -52,46 +53,88 @@ def _lane(h: Column, k: int) -> Column:
     return F.shiftrightunsigned(x.bitwiseAND(F.lit(_LANE_BITS)) + F.lit(_LANE_FILL), 7).bitwiseAND(F.lit(_LANE_ONES))
 
 
-def _majority(count, total: Column) -> Column:
-    """The fingerprint of counts(bit) over `total` words."""
+def _majority() -> Column:
+    """The fingerprint of counters c0..c7 over n words, at most PART: bit 8 i + k is bit i of byte k.
+
+    64 - (n / 2 + 1) is added to every counter at once; its bit 6 then says whether it was over half.
+    """
     out = F.lit(0).cast("bigint")
-    for bit in range(64):
-        value = 1 << bit if bit < 63 else -(1 << 63)
-        out = out.bitwiseOR(F.when(count(bit) * 2 > total, F.lit(value).cast("bigint")).otherwise(F.lit(0).cast("bigint")))
+    lift = (F.lit(63) - F.expr("n div 2")) * F.lit(_LANE_ONES)
+    for k in range(8):
+        over = F.shiftrightunsigned((F.col(f"c{k}") + lift).bitwiseAND(F.lit(_LANE_ONES << 6)), 6)
+        out = out.bitwiseOR(F.shiftleft(over, k))
     return out
 
 
-def _lane_count(bit: int) -> Column:
-    return F.shiftrightunsigned(F.col(f"c{bit // 8}"), 8 * (bit % 8)).bitwiseAND(F.lit(255))
+def _long_majority() -> Column:
+    """The same of sums d{k}_{i}, i < 4, that hold the counters of bits i and i + 4 of byte k in their halves."""
+    out = F.lit(0).cast("bigint")
+    for k in range(8):
+        for i in range(4):
+            low, high = F.col(f"d{k}_{i}").bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned(f"d{k}_{i}", 32)
+            for bit, count in ((8 * i + k, low), (8 * (i + 4) + k, high)):
+                value = 1 << bit if bit < 63 else -(1 << 63)
+                out = out.bitwiseOR(F.when(count * 2 > F.col("n"), F.lit(value).cast("bigint")).otherwise(F.lit(0).cast("bigint")))
+    return out
 
 
 def occurrences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Lines with letters or digits: doc_id, th (hash of the text), line_no from 0, norm, lid (MD5 of norm)."""
+    """Lines with letters or digits: doc_id, th (hash of the text), line_no from 0, norm, l1, l2 (hashes of norm)."""
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("tx"))
     lines = rows.select("doc_id", F.xxhash64("tx").alias("th"), F.posexplode(F.split("tx", "\n", -1)).alias("line_no", "line"))
-    return lines.select("doc_id", "th", "line_no", normalised(F.col("line")).alias("norm")).where("norm <> ''").withColumn("lid", F.unhex(F.md5("norm")))
+    lines = lines.select("doc_id", "th", "line_no", normalised(F.col("line")).alias("norm")).where("norm <> ''")
+    return lines.withColumns({"l1": F.xxhash64("norm"), "l2": F.xxhash64("norm", F.lit(1))})
+
+
+def line_id() -> Column:
+    """Both hashes as 16 bytes."""
+    return F.unhex(F.concat(F.lpad(F.hex("l1"), 16, "0"), F.lpad(F.hex("l2"), 16, "0")))
 
 
 def fingerprints(lines: DataFrame) -> DataFrame:
     """Per line: doc_id, th, line_no, lid, fp."""
-    parts = lines.select("doc_id", "th", "line_no", "lid", F.split("norm", " ").alias("ws"))
-    parts = parts.select("doc_id", "th", "line_no", "lid", (F.size("ws") > PART).alias("long"), F.posexplode("ws").alias("pos", "w"))
-    key = ["doc_id", "th", "line_no", "lid", "long", "part"]
-    hashed = parts.select("doc_id", "th", "line_no", "lid", "long", F.expr(f"pos div {PART}").alias("part"), F.xxhash64("w").alias("h"))
-    sums = hashed.select(*key, *[_lane(F.col("h"), k).alias(f"l{k}") for k in range(8)])
-    counted = sums.groupBy(*key).agg(*[F.sum(f"l{k}").alias(f"c{k}") for k in range(8)], F.count(F.lit(1)).alias("n"))
-    counted = written(counted, "line-counters")
-    own = ["doc_id", "th", "line_no", "lid"]
-    short = counted.where("NOT long").select(*own, _majority(_lane_count, F.col("n")).alias("fp"))
-    added = counted.where("long").groupBy(*own).agg(*[F.sum(_lane_count(b)).alias(f"b{b}") for b in range(64)], F.sum("n").alias("n"))
-    return short.unionByName(added.select(*own, _majority(lambda b: F.col(f"b{b}"), F.col("n")).alias("fp")))
-
-
-def _similar(a: str, b: str, least: float) -> Column:
-    """Edit similarity 1 - distance / longer length, at least `least`; the distance is cut off where it can't be."""
+    own = ["doc_id", "th", "line_no", "l1", "l2"]
+    parts = lines.select(*own, F.split("norm", " ").alias("ws"))
+    parts = parts.select(*own, (F.size("ws") > PART).alias("long"), F.posexplode("ws").alias("pos", "w"))
+    key = [*own, "long", "part"]
+    hashed = parts.select(*own, "long", F.expr(f"pos div {PART}").alias("part"), F.xxhash64("w").alias("h"))
+    sums = hashed.select(*key, *[_lane(F.col("h"), k).alias(f"s{k}") for k in range(8)])
+    counted = sums.groupBy(*key).agg(*[F.sum(f"s{k}").alias(f"c{k}") for k in range(8)], F.count(F.lit(1)).alias("n"))
+    counted = written(counted, "line-counters", codec="none")
+    short = counted.where("NOT long").select("doc_id", "th", "line_no", line_id().alias("lid"), _majority().alias("fp"))
+    halves = [F.sum(F.shiftrightunsigned(f"c{k}", 8 * i).bitwiseAND(F.lit(0x000000FF000000FF))).alias(f"d{k}_{i}") for k in range(8) for i in range(4)]
+    added = counted.where("long").groupBy(*own).agg(*halves, F.sum("n").alias("n"))
+    return short.unionByName(added.select("doc_id", "th", "line_no", line_id().alias("lid"), _long_majority().alias("fp")))
+
+
+def judged(pairs: DataFrame, a: str, b: str, least: float) -> DataFrame:
+    """pairs with `linked`: edit similarity 1 - distance / longer length of columns a and b is at least `least`.
+
+    Words that both begin or end with are left out, which changes no distance; where the word
+    counts agree, the lengths of the words that differ bound the distance and mostly settle it.
+    """
     longer = F.greatest(F.length(a), F.length(b))
-    most = F.floor(longer * F.lit(1 - least) + F.lit(1e-9)).cast("int")
-    return (F.abs(F.length(a) - F.length(b)) <= most) & F.expr(f"levenshtein({a}, {b})").between(F.lit(0), most)
+    step = pairs.withColumn("_most", F.floor(longer * F.lit(1 - least) + F.lit(1e-9)).cast("int"))
+    step = step.withColumn("_fits", F.abs(F.length(a) - F.length(b)) <= F.col("_most"))
+    step = step.withColumn("_wa", F.when(F.col("_fits"), F.split(a, " "))).withColumn("_wb", F.when(F.col("_fits"), F.split(b, " ")))
+    unequal = F.zip_with("_wa", "_wb", lambda x, y: F.when(x.eqNullSafe(y), 0).otherwise(F.greatest(F.length(x), F.length(y))))
+    step = step.withColumn("_d", unequal)
+    step = step.withColumn("_bound", F.when(F.size("_wa") == F.size("_wb"), F.aggregate("_d", F.lit(0), lambda s, x: s + x)))
+    step = step.withColumn("_sure", F.coalesce(F.col("_bound") <= F.col("_most"), F.lit(False)))
+    # The first difference from the front, then from the back of what is left.
+    open_ = F.col("_fits") & ~F.col("_sure")
+    front = F.array_position(F.transform("_d", lambda x: (x > 0)), F.lit(True)).cast("int")
+    step = step.withColumn("_p", F.when(open_, F.when(front == 0, F.least(F.size("_wa"), F.size("_wb")) + 1).otherwise(front)))
+    for side in "ab":
+        step = step.withColumn(f"_r{side}", F.reverse(F.slice(f"_w{side}", F.col("_p"), F.greatest(F.size(f"_w{side}") - F.col("_p") + 1, F.lit(0)))))
+    back = F.array_position(F.zip_with("_ra", "_rb", lambda x, y: ~x.eqNullSafe(y)), F.lit(True)).cast("int")
+    step = step.withColumn("_q", F.when(back == 0, F.least(F.size("_ra"), F.size("_rb")) + 1).otherwise(back))
+    for side in "ab":
+        middle = F.reverse(F.slice(f"_r{side}", F.col("_q"), F.greatest(F.size(f"_r{side}") - F.col("_q") + 1, F.lit(0))))
+        step = step.withColumn(f"_m{side}", F.array_join(F.transform(middle, lambda w: F.concat(w, F.lit(" "))), ""))
+    near = F.expr("levenshtein(_ma, _mb, _most)").between(F.lit(0), F.col("_most"))
+    linked = F.when(~F.col("_fits"), False).when(F.col("_sure"), True).otherwise(near)
+    return step.withColumn("linked", linked).drop("_most", "_fits", "_wa", "_wb", "_d", "_bound", "_sure", "_p", "_ra", "_rb", "_q", "_ma", "_mb")
 
 
 def _block_keys() -> list[Column]:
@@ -114,34 +157,50 @@ def fingerprint_pairs(prints: DataFrame) -> DataFrame:
     return rows.join(other, (F.col("t") == F.col("tb")) & (F.col("key") == F.col("kb")) & (F.col("fp") < F.col("fb")) & near).select(F.col("fp").alias("fa"), "fb").distinct()
 
 
-def links(lines: DataFrame, distinct: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """Edges (a, b) of line ids that join every group of lines linked by fingerprint and edit similarity."""
+def _joined(edges: DataFrame) -> DataFrame:
+    """components() of edges between line ids, worked out on numbers in the ids' stead."""
+    nodes = edges.select(F.explode(F.array("a", "b")).alias("lid")).distinct()
+    nodes = written(nodes.withColumn("nid", F.monotonically_increasing_id()), "line-nodes")
+    named = edges.join(nodes.select(F.col("lid").alias("a"), F.col("nid").alias("na")), "a").join(nodes.select(F.col("lid").alias("b"), F.col("nid").alias("nb")), "b")
+    found = components(named.select(F.col("na").alias("a"), F.col("nb").alias("b")))
+    of = found.join(nodes.withColumnRenamed("nid", "node"), "node").select("component", "lid")
+    least = of.groupBy("component").agg(F.min("lid").alias("least"))
+    return of.join(least, "component").select(F.col("lid").alias("node"), F.col("least").alias("component"))
+
+
+def groups(lines: DataFrame, distinct: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """(node, component) of the line ids that some link joins; component is the smallest id of the group."""
     prints = written(distinct.groupBy("fp").agg(F.count(F.lit(1)).alias("nl"), F.min("lid").alias("lead")), "line-prints")
+    several = prints.where("nl > 1")
     pairs = written(fingerprint_pairs(prints), "line-pairs")
-    ends = pairs.select(F.col("fa").alias("fp")).unionByName(pairs.select(F.col("fb").alias("fp"))).distinct()
-    wanted = distinct.join(ends.unionByName(prints.where("nl > 1").select("fp")).distinct(), "fp", "left_semi").select("lid", "fp")
+    ends = pairs.select(F.explode(F.array("fa", "fb")).alias("fp")).unionByName(several.select("fp")).distinct()
+    wanted = distinct.join(ends, "fp", "left_semi").select("lid", "fp")
     # The lines' texts, once each, of those only that some pair asks for.
-    texts = written(lines.select("lid", "norm").join(wanted, "lid").dropDuplicates(["lid"]).select("lid", "fp", "norm"), "line-texts")
-    edges = []
-    # One fingerprint, several lines: rounds against the smallest line not yet covered.
-    rest = texts.join(prints.where("nl > 1").select("fp"), "fp", "left_semi")
-    leaders = texts.join(prints.where("nl = 1").select("fp"), "fp", "left_semi")
-    for _ in range(1000):
-        rest = written(rest, "line-rest")
-        if rest.isEmpty():
-            break
-        lead = rest.groupBy("fp").agg(F.min("lid").alias("lead"))
-        lead = lead.join(rest.select(F.col("lid").alias("lead"), F.col("norm").alias("lead_norm")), "lead")
-        leaders = leaders.unionByName(lead.select(F.col("lead").alias("lid"), "fp", F.col("lead_norm").alias("norm")))
-        judged = written(rest.join(lead, "fp").where("lid <> lead").select("lid", "fp", "norm", "lead", _similar("norm", "lead_norm", similarity).alias("linked")), "line-judged")
-        edges.append(judged.where("linked").select(F.col("lid").alias("a"), F.col("lead").alias("b")))
-        rest = judged.where("NOT linked").select("lid", "fp", "norm")
-    a = leaders.select(F.col("lid").alias("a"), F.col("fp").alias("fa"), F.col("norm").alias("na"))
-    b = leaders.select(F.col("lid").alias("b"), F.col("fp").alias("fb"), F.col("norm").alias("nb"))
-    across = pairs.join(a, "fa").join(b, "fb").where(_similar("na", "nb", similarity)).select("a", "b")
-    for more in edges:
-        across = across.unionByName(more)
-    return across
+    texts = written(lines.select(line_id().alias("lid"), "norm").join(wanted, "lid").dropDuplicates(["lid"]).select("lid", "fp", "norm"), "line-texts")
+    a = texts.select(F.col("lid").alias("a"), F.col("fp").alias("fa"), F.col("norm").alias("na"))
+    b = texts.select(F.col("lid").alias("b"), F.col("fp").alias("fb"), F.col("norm").alias("nb"))
+    lead_a = a.join(prints.select(F.col("lead").alias("a")), "a", "left_semi")
+    lead_b = b.join(prints.select(F.col("lead").alias("b")), "b", "left_semi")
+    stars = a.join(several.select(F.col("fp").alias("fa")), "fa", "left_semi").join(lead_b, F.col("fa") == F.col("fb")).where("a <> b")
+    across = pairs.join(lead_a, "fa").join(lead_b, "fb")
+    columns = ["a", "b", "na", "nb"]
+    first = judged(stars.select(*columns).unionByName(across.select(*columns)), "na", "nb", similarity)
+    edges = written(first.where("linked").select("a", "b"), "line-links")
+    joined = written(_joined(edges), "line-components")
+    # What is still apart, of fingerprints with several lines: each pair that no lead has judged.
+    crowded = pairs.join(several.select(F.col("fp").alias("fa"), F.lit(1).alias("xa")), "fa", "left").join(several.select(F.col("fp").alias("fb"), F.lit(1).alias("xb")), "fb", "left")
+    crowded = crowded.where("xa = 1 OR xb = 1").select("fa", "fb").unionByName(several.select(F.col("fp").alias("fa"), F.col("fp").alias("fb")))
+    of = texts.join(joined.withColumnRenamed("node", "lid"), "lid", "left").select("lid", "fp", "norm", F.coalesce("component", "lid").alias("cc"))
+    a = of.select(F.col("lid").alias("a"), F.col("fp").alias("fa"), F.col("norm").alias("na"), F.col("cc").alias("ca"))
+    b = of.select(F.col("lid").alias("b"), F.col("fp").alias("fb"), F.col("norm").alias("nb"), F.col("cc").alias("cb"))
+    apart = crowded.join(a, "fa").join(b, "fb").where("ca <> cb AND (fa <> fb OR a < b)")
+    more = written(judged(apart, "na", "nb", similarity).where("linked").select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct(), "line-more-links")
+    if more.isEmpty():
+        return joined
+    upper = _joined(more).select(F.col("node").alias("component"), F.col("component").alias("top"))
+    whole = joined.join(upper, "component", "left").select("node", F.coalesce("top", "component").alias("component"))
+    alone = upper.join(joined.select(F.col("node").alias("component")), "component", "left_anti")
+    return whole.unionByName(alone.select(F.col("component").alias("node"), F.col("top").alias("component")))
 
 
 def decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
@@ -150,8 +209,8 @@ def decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     prints = written(fingerprints(lines), "line-fingerprints")
     first = F.min(F.struct("doc_id", "th", "line_no")).alias("first")
     distinct = written(prints.groupBy("lid").agg(first, F.first("fp").alias("fp")), "distinct-lines")
-    groups = components(links(lines, distinct, similarity))
-    member = distinct.join(groups.withColumnRenamed("node", "lid"), "lid", "left").select("lid", "first", F.coalesce("component", "lid").alias("gid"))
+    joined = groups(lines, distinct, similarity)
+    member = distinct.join(joined.withColumnRenamed("node", "lid"), "lid", "left").select("lid", "first", F.coalesce("component", "lid").alias("gid"))
     member = written(member, "line-groups")
     keep = member.groupBy("gid").agg(F.min("first").alias("keep"))
     of = member.join(keep, "gid").select("lid", "keep")

@@ -38,7 +38,7 @@ MAGIC = b"PFOR1\0\0\0"
 #: Share of a block's values that fit its width.
 FIT = 0.9
 #: Ids in a file, give or take a document.
-FILE_IDS = 4 << 20
+FILE_IDS = 1 << 20
 NULL_ID = -(1 << 63)
 
 
@@ -149,27 +149,57 @@ class Words:
     digit are a run of their own, as the splitter parts them there too.
     """
 
-    def __init__(self, path: str, memory: int = 600_000):
+    def __init__(self, path: str, memory: int = 200_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        suffix = self.tokenizer.model.end_of_word_suffix or ""
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[i for piece, i in vocabulary.items() if suffix and piece.endswith(suffix)]] = True
         self.known: dict[bytes, bytes] = {}
+        #: Runs known before the last turnover; those still in use come back from here.
+        self.older: dict[bytes, bytes] = {}
         self.memory = memory
 
     def encode(self, text: bytes) -> bytes:
-        runs, known = _TRAILING.sub(rb" \1", text).split(), self.known
+        # The normaliser lower-cases everything; doing so for ASCII first makes fewer runs differ.
+        runs, known = _TRAILING.sub(rb" \1", text.lower()).split(), self.known
         new = list(set(runs).difference(known))
         if new:
             if len(known) + len(new) > self.memory:
-                known.clear()
-                new = list(set(runs))
-            for x, e in zip(new, self.tokenizer.encode_batch_fast([x.decode() for x in new], add_special_tokens=False), strict=True):
-                ids = e.ids
-                known[x] = struct.pack(f"<{len(ids)}I", *ids)
+                self.older, self.known = known, {}
+                known, new = self.known, list(set(runs))
+            older = self.older
+            again = [x for x in new if x in older]
+            for x in again:
+                known[x] = older[x]
+            if len(again) < len(new):
+                self._learn([x for x in new if x not in older] if again else new)
         return b"".join(map(known.__getitem__, runs))
 
+    def _learn(self, new: list[bytes]) -> None:
+        texts = [x.decode() for x in new]
+        plain = [i for i, x in enumerate(texts) if x.isalpha()]
+        # Runs of letters are one word each: encoded as one text and cut where words end.
+        ids = np.array(self._ids([" ".join([texts[i] for i in plain])])[0], "<u4")
+        ends = np.flatnonzero(self.ends_word[ids]) + 1
+        if len(ends) == len(plain):
+            raw, at = ids.tobytes(), 0
+            for i, end in zip(plain, ends.tolist(), strict=True):
+                self.known[new[i]] = raw[4 * at : 4 * end]
+                at = end
+            rest = [i for i, x in enumerate(texts) if not x.isalpha()]
+        else:
+            rest = range(len(new))
+        for i, own in zip(rest, self._ids([texts[i] for i in rest]), strict=True):
+            self.known[new[i]] = struct.pack(f"<{len(own)}I", *own)
+
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
 
 @lru_cache(maxsize=1)
 def worker_words(path: str) -> Words:
@@ -195,7 +225,7 @@ def _to_files(path: str, end_id: int, id_col: str, text_col: str, file_ids: int)
                 names=["task", "part", "n_docs", "n_ids", "body"],
             )
 
-        for table in slices(batches, text_col):
+        for table in slices(batches, text_col, 2 << 20):
             for doc, text in zip(table.column(id_col).to_pylist(), column_bytes(table, text_col), strict=True):
                 ids = words.encode(text) + end
                 docs.append(doc)
