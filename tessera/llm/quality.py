@@ -191,7 +191,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     scale = 1 << 20
     # About `most` ids: small enough to send to every task.
     chosen = F.broadcast(rows.where(F.pmod(F.xxhash64("id_x"), F.lit(scale)) < min(scale, -(-most * scale // n))))
-    sample = docs.join(chosen, docs[id_col] == chosen["id_x"]).select("label_x", F.col(text_col).alias("text_x"), F.col(stated_col).cast("bigint").alias("stated_x"))
+    # Only what is needed, by names of its own: docs may have columns named like those of chosen.
+    needed = docs.select(F.col(id_col).alias("own_x"), F.col(text_col).alias("text_x"), F.col(stated_col).cast("bigint").alias("stated_x"))
+    sample = needed.join(chosen, F.col("own_x") == F.col("id_x")).select("label_x", "text_x", "stated_x")
     got = sample.mapInArrow(_feature_rows("text_x", "stated_x"), "label int, ids array<int>, x array<float>").toArrow()
     if got.num_rows == 0:
         return Machine(0.0)
