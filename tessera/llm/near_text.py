@@ -1,0 +1,255 @@
+"""Near-dedup by exact Jaccard similarity of five-word shingle sets; no pair at or above the bound is missed.
+
+Two sets with similarity s or more share one of the n - ceil(s n) + 1 first shingles of each, in
+any order of all shingles (prefix filter). The order puts shingles that are frequent in a bounded
+sample last, which changes the work and not the result. Documents that share prefix
+shingles so many, and at such places, that the similarity is possible are candidates; the shingles themselves, not
+their hashes, are compared.
+
+Only a spanning set of links is needed: first each document meets one leader among those of its
+size, then all such leaders, and at last every candidate pair that is still in different
+groups, so a large group of near copies costs its size and not its square.
+
+Defined cases: null and empty texts, and texts of white space, have one empty shingle; fewer than
+five words are one shingle; ASCII case is ignored; rows without an id link others and stay; rows
+that repeat an id stay or go together with their group each; an empty table gives no rows.
+"""
+
+from __future__ import annotations
+
+import math
+from collections.abc import Iterator
+from itertools import repeat
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .common import column_bytes, slices, small_batches, written
+from .components import components
+from .simhash import text_hash
+
+WORDS = 5
+SIMILARITY = 0.8
+SEED = 42
+#: Documents whose shingles are counted for the order, about; and the count from which one is frequent.
+SAMPLE_DOCS = 10_000
+FREQUENT = 5
+#: Postings looked at in one go; a longer list is still one go.
+CHUNK = 1 << 19
+#: Shared part of a document's shingles from which a leader is tried before the rest.
+LEAST_LED = 0.05
+#: Candidate pairs of one posting list made at a time.
+PAIRS = 1 << 16
+
+
+def shingles(text: bytes, words: int = WORDS) -> set[bytes]:
+    tokens = text.lower().split()
+    if len(tokens) <= words:
+        return {b" ".join(tokens)}
+    return set(map(b" ".join, zip(*(tokens[i:] for i in range(words)), strict=False)))
+
+
+def possible(pairs: DataFrame, similarity: float) -> DataFrame:
+    """Of (a, b, na, nb, ia, ib), a row for each shared prefix shingle and its places: the pairs (a, b) that may be similar enough.
+
+    Whatever else a pair shares is behind the last of these in both, and behind the earlier end of the two prefixes.
+    """
+    both = pairs.groupBy("a", "b").agg(F.first("na").alias("na"), F.first("nb").alias("nb"), F.max("ia").alias("ia"), F.max("ib").alias("ib"), F.count(F.lit(1)).alias("c"))
+    behind = F.least(F.col("na") - F.col("ia") - 1, F.col("nb") - F.col("ib") - 1, F.ceil(F.greatest("na", "nb") * F.lit(similarity) - F.lit(1e-9)) - 1)
+    return both.where(F.col("c") + behind >= (F.col("na") + F.col("nb")) * F.lit(similarity / (1 + similarity)) - F.lit(1e-9)).select("a", "b")
+
+
+def _hashes(text: bytes, words: int) -> np.ndarray:
+    from xxhash import xxh64_intdigest
+
+    own = shingles(text, words)
+    return np.fromiter(map(xxh64_intdigest, own, repeat(SEED)), np.uint64, len(own)).view(np.int64)
+
+
+def _sampled(text_col: str, words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in slices(batches, text_col):
+            for text in column_bytes(table, text_col):
+                yield pa.RecordBatch.from_arrays([pa.array(_hashes(text, words))], names=["h"])
+
+    return run
+
+
+def frequent(docs: DataFrame, text_col: str, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes in ascending order, and counts, of the shingles that are frequent in a sample of about SAMPLE_DOCS documents."""
+    small_batches(docs.sparkSession)
+    scale = 1 << 30
+    most = min(scale, scale * SAMPLE_DOCS // max(1, docs.count()))
+    sample = docs.where(F.pmod(text_hash(text_col), F.lit(scale)) < most).select(text_col)
+    found = sample.mapInArrow(_sampled(text_col, words), "h bigint").groupBy("h").count().where(F.col("count") >= FREQUENT).toPandas().sort_values("h")
+    return found["h"].to_numpy(np.int64), found["count"].to_numpy(np.int64)
+
+
+def _prefixes(shared, id_col: str, text_col: str, words: int, similarity: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, counts = shared.value
+        for table in slices(batches, text_col):
+            sizes, prefixes = [], []
+            for text in column_bytes(table, text_col):
+                h = np.sort(_hashes(text, words))
+                if len(known):
+                    at = np.minimum(np.searchsorted(known, h), len(known) - 1)
+                    h = h[np.argsort(np.where(known[at] == h, counts[at], 0), kind="stable")]
+                sizes.append(len(h))
+                prefixes.append(h[: len(h) - math.ceil(similarity * len(h) - 1e-9) + 1])
+            ends = np.cumsum([0, *map(len, prefixes)]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(prefixes)))
+            yield pa.RecordBatch.from_arrays(
+                [table.column(id_col).combine_chunks(), table.column("th").combine_chunks(), pa.array(sizes, pa.int64()), lists],
+                names=["doc_id", "th", "n", "prefix"],
+            )
+
+    return run
+
+
+def _by_key(width: int, make, names: list[str]):
+    """Batches of rows sorted by their first column, handed to `make` in runs that split no key."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[list[np.ndarray]] = []
+        size = 0
+
+        def made(cols):
+            for out in make(*cols):
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], names=names)
+
+        for batch in batches:
+            held.append([batch.column(i).to_numpy(zero_copy_only=False) for i in range(width)])
+            size += batch.num_rows
+            if size < CHUNK:
+                continue
+            cols = [np.concatenate(c) for c in zip(*held, strict=True)]
+            new = np.flatnonzero(cols[0][1:] != cols[0][:-1])
+            cut = int(new[-1]) + 1 if len(new) else 0
+            if cut:
+                yield from made([c[:cut] for c in cols])
+            held, size = [[c[cut:] for c in cols]], len(cols[0]) - cut if cut else 0
+        if held:
+            yield from made([np.concatenate(c) for c in zip(*held, strict=True)])
+
+    return run
+
+
+def _several(h, n, nid, at):
+    """Postings of shingles that more than one document has."""
+    same = h[1:] == h[:-1]
+    keep = np.zeros(len(h), bool)
+    keep[1:] = same
+    keep[:-1] |= same
+    yield h[keep], n[keep], nid[keep], at[keep]
+
+
+def _across(similarity: float):
+    """Pairs of one posting list that are in different groups and whose sizes allow the similarity; rows sorted by shingle and group."""
+
+    def make(h, group, n, nid, at):
+        new = np.concatenate([[True], (h[1:] != h[:-1]) | (group[1:] != group[:-1])])
+        group_ends = np.append(np.flatnonzero(new)[1:], len(h))[np.cumsum(new) - 1]
+        new = np.concatenate([[True], h[1:] != h[:-1]])
+        list_ends = np.append(np.flatnonzero(new)[1:], len(h))[np.cumsum(new) - 1]
+        counts = list_ends - group_ends
+        rows = np.flatnonzero(counts)
+        a = 0
+        while a < len(rows):
+            b = a + max(1, int(np.searchsorted(np.cumsum(counts[rows[a:a + PAIRS]]), PAIRS)))
+            some = rows[a:b]
+            i = np.repeat(some, counts[some])
+            ends = np.cumsum(counts[some])
+            j = np.arange(ends[-1]) - np.repeat(ends - counts[some] - group_ends[some], counts[some])
+            fits = np.minimum(n[i], n[j]) >= similarity * np.maximum(n[i], n[j]) - 1e-9
+            i, j = i[fits], j[fits]
+            swap = nid[i] > nid[j]
+            i, j = np.where(swap, j, i), np.where(swap, i, j)
+            yield nid[i], nid[j], n[i], n[j], at[i], at[j]
+            a = b
+
+    return make
+
+
+def _verify(words: int, similarity: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, own = None, set()
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            links: list[tuple[int, int]] = []
+            for a, b, x, y in zip(table.column("a").to_pylist(), table.column("b").to_pylist(), column_bytes(table, "ta"), column_bytes(table, "tb"), strict=True):
+                if a != last:
+                    last, own = a, shingles(x, words)
+                other = shingles(y, words)
+                common = len(own & other)
+                if common >= similarity * (len(own) + len(other) - common) - 1e-9:
+                    links.append((a, b))
+            yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in links], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    return run
+
+
+def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
+    """Per row of docs that some link joins: doc_id, th (hash of the text), component_id (smallest id of its group)."""
+    spark = docs.sparkSession
+    shared = spark.sparkContext.broadcast(frequent(docs, text_col, words))
+    rows = docs.select(F.col(id_col).cast("bigint").alias(id_col), text_col, text_hash(text_col).alias("th"))
+    prints = rows.mapInArrow(_prefixes(shared, id_col, text_col, words, similarity), "doc_id bigint, th bigint, n bigint, prefix array<bigint>")
+    prints = written(prints.withColumn("nid", F.monotonically_increasing_id()), "near-prefixes", codec="none")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50000")
+    postings = prints.select("n", "nid", F.posexplode("prefix").alias("at", "h")).select("h", "n", "nid", F.col("at").cast("bigint").alias("at"))
+    in_order = postings.repartition("h").sortWithinPartitions("h")
+    lists = written(in_order.mapInArrow(_by_key(4, _several, ["h", "n", "nid", "at"]), "h bigint, n bigint, nid bigint, at bigint"), "near-postings", codec="none")
+    members = prints.select("nid", "doc_id", "th")
+    plain = docs.select(F.col(id_col).cast("bigint").alias("id_x"), text_hash(text_col).alias("th_x"), F.coalesce(F.col(text_col), F.lit("")).alias("tx"))
+
+    def similar(pairs: DataFrame, name: str) -> DataFrame:
+        pairs = written(pairs, f"{name}-pairs", codec="none")
+        wanted = written(members.join(pairs.select(F.explode(F.array("a", "b")).alias("nid")).distinct(), "nid"), f"{name}-wanted", codec="none")
+        named = wanted.join(plain, wanted["doc_id"].eqNullSafe(plain["id_x"]) & (wanted["th"] == plain["th_x"])).select("nid", "tx")
+        texts = written(named.dropDuplicates(["nid"]), f"{name}-texts")
+        small_batches(spark, 100)
+        a = texts.select(F.col("nid").alias("a"), F.col("tx").alias("ta"))
+        b = texts.select(F.col("nid").alias("b"), F.col("tx").alias("tb"))
+        both = pairs.join(b, "b").join(a, "a").select("a", "b", "ta", "tb")
+        return written(both.mapInArrow(_verify(words, similarity), "a bigint, b bigint"), name, codec="none")
+
+    def numbered(links: DataFrame, name: str) -> DataFrame:
+        """lists with the group that each document is in by these links."""
+        joined = written(components(links), name, codec="none")
+        return lists.join(joined.withColumnRenamed("node", "nid"), "nid", "left").select("h", F.coalesce("component", "nid").alias("group"), "n", "nid", "at")
+
+    # Sizes of one class differ by less than the similarity allows.
+    size = F.floor(F.log(F.col("n").cast("double")) / F.lit(-math.log(similarity))).alias("size")
+    leads = written(lists.groupBy("h", size).agg(F.min("nid").alias("lead")), "near-leads", codec="none")
+    # Which of these pairs are tried first only saves work: those that share a fair part of a prefix.
+    led = lists.select("h", size, "n", "nid").join(leads, ["h", "size"]).where("nid <> lead").select(F.col("lead").alias("a"), F.col("nid").alias("b"), "n")
+    led = led.groupBy("a", "b").agg(F.count(F.lit(1)).alias("c"), F.first("n").alias("n")).where(F.col("c") >= F.col("n") * F.lit(LEAST_LED))
+    led = written(led, "near-led", codec="none")
+    links = similar(led.groupBy("b").agg(F.max_by("a", F.struct("c", -F.col("a"))).alias("a")).select("a", "b"), "near-links")
+    up = leads.select("h", (F.col("size") - 1).alias("size"), F.col("lead").alias("lead_up"))
+    steps = leads.join(up, ["h", "size"]).select(F.least("lead", "lead_up").alias("a"), F.greatest("lead", "lead_up").alias("b")).where("a <> b")
+    sizes = prints.select(F.col("nid").alias("a"), "n")
+    steps = steps.groupBy("a", "b").count().join(sizes, "a").where(F.col("count") >= F.col("n") * F.lit(LEAST_LED)).select("a", "b")
+    joined = written(components(links), "near-groups", codec="none")
+    of_a, of_b = joined.select(F.col("node").alias("a"), F.col("component").alias("ca")), joined.select(F.col("node").alias("b"), F.col("component").alias("cb"))
+    apart = led.select("a", "b").unionByName(steps).distinct().join(of_a, "a", "left").join(of_b, "b", "left").where("coalesce(ca, a) <> coalesce(cb, b)").select("a", "b")
+    links = links.unionByName(similar(apart, "near-lead-links"))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50000")
+    grouped = numbered(links, "near-lead-groups").repartition("h").sortWithinPartitions("h", "group")
+    names = ["a", "b", "na", "nb", "ia", "ib"]
+    rest = possible(grouped.mapInArrow(_by_key(5, _across(similarity), names), ", ".join(f"{x} bigint" for x in names)), similarity)
+    links = links.unionByName(similar(rest, "near-rest-links"))
+    found = written(components(links), "near-components", codec="none")
+    of = members.join(found.withColumnRenamed("node", "nid"), "nid").select("doc_id", "th", "component")
+    least = of.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    return of.join(least, "component").select("doc_id", "th", "component_id")
+
+
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """docs with the smallest id of each group, all columns kept; rows without an id stay."""
+    late = groups(docs, id_col, text_col, **how).where("doc_id <> component_id")
+    gone = written(late.select(F.col("doc_id").alias("gone_id"), F.col("th").alias("gone_th")).distinct(), "near-gone", codec="none")
+    return docs.join(gone, (docs[id_col] == gone["gone_id"]) & (text_hash(text_col) == gone["gone_th"]), "left_anti")

@@ -1,0 +1,65 @@
+"""The pipeline's near-duplicate stage against brute force on Jaccard similarity."""
+
+import random
+
+import pytest
+
+from tessera.llm import near_text
+
+
+def expected(docs):
+    """Ids that stay, by comparing every pair."""
+    own = [near_text.shingles((t or "").encode()) for _, t in docs]
+    root = list(range(len(docs)))
+    for a in range(len(docs)):
+        for b in range(a):
+            if root[a] != root[b] and 10 * len(own[a] & own[b]) >= 8 * len(own[a] | own[b]):
+                x, y = root[a], root[b]
+                root = [y if r == x else r for r in root]
+    least = {}
+    for (i, _), r in zip(docs, root, strict=True):
+        least[r] = min(least.get(r, i), i)
+    return sorted(i for (i, _), r in zip(docs, root, strict=True) if i == least[r])
+
+
+def changed(rng, text, n):
+    words = text.split()
+    for i in rng.sample(range(len(words)), min(n, len(words))):
+        words[i] = rng.choice(["other", "words", "instead"]) + str(rng.randrange(1000))
+    return " ".join(words)
+
+
+@pytest.mark.parametrize("frequent", [2, 10**9])
+def test_near_copies_equal_brute_force(spark, monkeypatch, frequent):
+    import corpus_pipeline
+
+    monkeypatch.setattr(near_text, "FREQUENT", frequent)
+    rng = random.Random(5)
+    common = " ".join(f"c{i}" for i in range(30))
+    base = [" ".join(f"w{rng.randrange(5000)}" for _ in range(rng.choice([1, 4, 6, 12, 40, 150, 300]))) for _ in range(30)]
+    texts = [None, "", " \t", "one", "ONE  "]
+    for text in base:
+        texts.append(text)
+        # From well above to well below the bound, and some longer by a line that many share.
+        for _ in range(rng.randrange(1, 6)):
+            copy = changed(rng, text, rng.randrange(1 + len(text.split()) // 25))
+            texts.append(rng.choice([copy, copy.upper(), copy + " " + common, common + "\n" + copy]))
+    # One large group, whose sizes differ.
+    hub = " ".join(f"h{i}" for i in range(200))
+    texts += [changed(rng, hub, 2) + " tail" * rng.randrange(3) for _ in range(40)]
+    ids = rng.sample(range(10_000), len(texts))
+    docs = list(zip(ids, texts, strict=True))
+    df = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(5)
+    got = sorted(r.doc_id for r in corpus_pipeline.near_copies(spark, df, "").collect())
+    want = expected(docs)
+    assert got == want and len(want) < len(docs) - 80
+
+
+def test_three_changed_words_of_300_are_near(spark):
+    import corpus_pipeline
+
+    words = [f"w{i}" for i in range(300)]
+    other = [*words[:50], "x", *words[51:150], "y", *words[151:250], "z", *words[251:]]
+    df = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(other)), (None, "a b c"), (None, "a b c"), (3, "a b c")], "doc_id bigint, text string")
+    assert sorted((r.doc_id for r in corpus_pipeline.near_copies(spark, df, "").collect()), key=str) == [1, 3, None, None]
+    assert corpus_pipeline.near_copies(spark, df.limit(0), "").count() == 0
