@@ -154,7 +154,8 @@ class Words:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        #: A text that has one of these, in any case of ASCII, is encoded whole by the library.
+        self.added = [t.content.encode().lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
         suffix = self.tokenizer.model.end_of_word_suffix or ""
         vocabulary = self.tokenizer.get_vocab()
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
@@ -166,7 +167,11 @@ class Words:
 
     def encode(self, text: bytes) -> bytes:
         # The normaliser lower-cases everything; doing so for ASCII first makes fewer runs differ.
-        runs, known = _TRAILING.sub(rb" \1", text.lower()).split(), self.known
+        lower = text.lower()
+        if any(x in lower for x in self.added):
+            own = self._ids([text.decode()])[0]
+            return struct.pack(f"<{len(own)}I", *own)
+        runs, known = _TRAILING.sub(rb" \1", lower).split(), self.known
         new = list(set(runs).difference(known))
         if new:
             if len(known) + len(new) > self.memory:
