@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import threading
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -15,11 +17,15 @@ LOCAL_CHECKPOINTS = "/tmp/checkpoints"
 #: Bytes of text that a Python worker holds at a time.
 SLICE_BYTES = 8 << 20
 
+_scopes = threading.local()
+
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; set here only where the session has none."""
+    """The folder that driver and executors share; set here only for a local master without one."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         path = LOCAL_CHECKPOINTS
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(path)
@@ -30,14 +36,46 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/tessera/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
-    """df as a table in the shared folder: lineage ends there, and a lost executor costs nothing."""
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@contextmanager
+def scratch():
+    """Tables that `written` makes inside are deleted at the end, those it is told to keep by the scope around."""
+    stack = _scopes.__dict__.setdefault("stack", [])
+    stack.append([])
+    try:
+        yield
+    finally:
+        for spark, path in stack.pop():
+            _delete(spark, path)
+
+
+def written(df: DataFrame, name: str, codec: str = "snappy", keep: bool = False) -> DataFrame:
+    """df as a table in the shared folder: lineage ends there, and a lost executor costs nothing.
+
+    Inside `scratch` the table goes with the scope; one to keep goes with the scope around it, or stays if there is none.
+    """
     spark = df.sparkSession
     path = work_path(spark, name)
+    stack = _scopes.__dict__.get("stack", [])
+    owners = stack[:-1] if keep else stack
+    if owners:
+        owners[-1].append((spark, path))
     df.write.option("compression", codec).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_name(wanted: str, taken) -> str:
+    """A column name that none of `taken` equals, whatever its case."""
+    taken = {x.lower() for x in taken}
+    while wanted.lower() in taken:
+        wanted += "_"
+    return wanted
+
+
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Arrow batches that stay small even where every text is very long."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

@@ -1,21 +1,29 @@
 """Fuzzy line dedup with DataFrame functions alone.
 
-Lines are normalised (lower case, ASCII that is no letter or digit to one space, digit runs to 0)
-and identified by two 64-bit hashes of that. A line's SimHash counts the bits of its words' hashes: eight
-sums hold eight byte-wide counters each, over at most 63 words; longer lines add up their
-parts' counters. Distinct fingerprints are joined on pigeonhole blocks: 3 differing bits leave
-two of five blocks alone. Candidates within the radius whose normalised lines have an edit
-similarity of 0.8 or more are linked, and of every connected group of lines the first
-occurrence (smallest doc_id, then line number) stays.
-
-Lines with one fingerprint are first verified against the smallest of them, and fingerprints
-against each other by those. Only pairs of lines that this leaves in different groups are compared
-one by one, so a large group of variants costs its size and not its square, and no link is lost.
+Lines are normalised (lower case, ASCII that is no letter or digit to one space, digit runs to 0) and
+made distinct by their whole normalised text. A distinct line's fingerprint is a row of SimHash blocks: each distinct
+word votes, with the bits of its XXH64, in the one block that its hash names. A changed word
+so disturbs two blocks at most and leaves the others bit for bit as they were, wherever it
+stands. Lines are candidates if enough blocks agree (pigeonhole):
+
+- lines of fewer than 14 distinct words: 2 of 4 blocks;
+- of 10 to 55: 2 of 5;
+- of 44 on: 1 of 8 blocks, of twice as many blocks for twice as many words.
+
+The ranges overlap, so that two lines whose word counts are within a fifth share a scheme. Blocks of too few
+words are no key: an empty one of 8, two that together have not even one block's share. Candidates that share
+three in ten of their words and have an edit similarity of 0.8 or more are linked, and of every connected group the first occurrence (smallest doc_id, then
+line number) stays.
+
+Each line is first judged against one leader: of the smallest lines of its keys the one with most keys
+in common. Only pairs that share a key and are still in different groups are then compared one by one, so a large
+group of variants costs its size and not its square, and no link is lost.
 
 Defined cases: lines without letters and digits are always kept; null and empty texts have one
 empty line; a null id sorts before all others; rows that repeat an id count as one document
-whose lines are numbered on in the order of the texts' hashes; an empty table gives no rows;
-other columns are ignored by `decisions` and kept by `drop_lines`.
+whose lines are numbered on in the order of the texts' hashes; rows that repeat id and text are
+one document whose result each of them gets; an empty table gives no rows;
+other columns are ignored by `decisions` and kept by `drop_lines`, whatever their names.
 """
 
 from __future__ import annotations
@@ -25,93 +33,110 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import free_name, scratch, written
 from .components import components
 
-RADIUS = 3
-BLOCKS = 5
 SIMILARITY = 0.8
-#: Words whose counters fit a signed sum.
-PART = 63
+#: Words that a block counts; the mean of a block's words is below 14, and a block is drawn by hash.
+BLOCK_WORDS = 63
+#: Bits of a block by eights, where two of them are a key and where one is.
+PAIR_SUMS, LONE_SUMS = 3, 5
+#: Blocks of which two must agree, and the least and most distinct words of such lines.
+TWO_OF = ((4, 0, 13), (5, 10, 55))
+#: Distinct words from which 1 of 8 blocks must agree, and those up to which this scheme is used.
+ONE_FROM, ONE_TO = 44, 112
+
+#: Share of the distinct words of the longer line that both must have; a pair of a similarity of 0.8 nearly always has over 0.7.
+SHARED_WORDS = 0.3
 
-_WIDTHS = [64 // BLOCKS + (i < 64 % BLOCKS) for i in range(BLOCKS)]
-_LANE_BITS = -0x7FBFDFEFF7FBFDFF  # 0x8040201008040201: bit i of lane i
-_LANE_FILL = 0x7F7F7F7F7F7F7F7F
-_LANE_ONES = 0x0101010101010101
+_ONES = 0x0101010101010101
 
 
-def normalised(line: Column) -> Column:
-    plain = F.regexp_replace(F.lower(line), r"[\x00-/:-`{-\x7F]+", " ")
-    return F.trim(F.regexp_replace(plain, "[0-9]+", "0"))
+def normalised(text: Column) -> Column:
+    """Every line of a text normalised, but for spaces at its ends."""
+    plain = F.regexp_replace(F.lower(text), r"[\x00-\x09\x0B-/:-`{-\x7F]+", " ")
+    return F.regexp_replace(plain, "[0-9]+", "0")
+
+
+def occurrences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Lines with letters or digits: doc_id, th (hash of the text), line_no from 0, norm."""
+    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("tx"))
+    rows = rows.select("doc_id", F.xxhash64("tx").alias("th"), F.split(normalised(F.col("tx")), "\n", -1).alias("ls"))
+    # The outer form, whose plan has no filter that would split and normalise again.
+    lines = rows.select("doc_id", "th", F.posexplode_outer("ls").alias("line_no", "line"))
+    return lines.select("doc_id", "th", "line_no", F.trim("line").alias("norm")).where("norm <> ''")
 
 
-def _lane(h: Column, k: int) -> Column:
-    """The bits of byte k of h as the eight bytes of a long, each 0 or 1."""
-    x = F.shiftrightunsigned(h, 8 * k).bitwiseAND(F.lit(255))
-    for by in (8, 16, 32):
-        x = x.bitwiseOR(F.shiftleft(x, by))
-    return F.shiftrightunsigned(x.bitwiseAND(F.lit(_LANE_BITS)) + F.lit(_LANE_FILL), 7).bitwiseAND(F.lit(_LANE_ONES))
+def _counted(k: int):
+    """Adds bits k, k + 8 and so on of a hash to eight byte-wide counters."""
+    return lambda s, h: s + F.shiftrightunsigned(h, k).bitwiseAND(F.lit(_ONES))
 
 
-def _majority() -> Column:
-    """The fingerprint of counters c0..c7 over n words, at most PART: bit 8 i + k is bit i of byte k.
+def simhash(hashes: Column, sums: int) -> Column:
+    """Of 8 * sums bits, which over half of up to BLOCK_WORDS hashes have.
 
-    64 - (n / 2 + 1) is added to every counter at once; its bit 6 then says whether it was over half.
+    Each sum holds eight counters, sum k those of bits k, k + 8 and so on. 63 - n / 2 is added
+    to every counter; its bit 6 then says whether it was over half.
     """
+    lift = (F.lit(63) - F.call_function("shiftright", F.size(hashes), F.lit(1))).cast("bigint") * F.lit(_ONES)
     out = F.lit(0).cast("bigint")
-    lift = (F.lit(63) - F.expr("n div 2")) * F.lit(_LANE_ONES)
-    for k in range(8):
-        over = F.shiftrightunsigned((F.col(f"c{k}") + lift).bitwiseAND(F.lit(_LANE_ONES << 6)), 6)
-        out = out.bitwiseOR(F.shiftleft(over, k))
+    for k in range(sums):
+        count = F.aggregate(hashes, F.lit(0).cast("bigint"), _counted(k))
+        out = out.bitwiseOR(F.shiftleft(F.shiftrightunsigned(count + lift, 6).bitwiseAND(F.lit(_ONES)), k))
     return out
 
 
-def _long_majority() -> Column:
-    """The same of sums d{k}_{i}, i < 4, that hold the counters of bits i and i + 4 of byte k in their halves."""
-    out = F.lit(0).cast("bigint")
-    for k in range(8):
-        for i in range(4):
-            low, high = F.col(f"d{k}_{i}").bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned(f"d{k}_{i}", 32)
-            for bit, count in ((8 * i + k, low), (8 * (i + 4) + k, high)):
-                value = 1 << bit if bit < 63 else -(1 << 63)
-                out = out.bitwiseOR(F.when(count * 2 > F.col("n"), F.lit(value).cast("bigint")).otherwise(F.lit(0).cast("bigint")))
-    return out
+def _cut(ranked: str, after: Column, before: Column) -> Column:
+    """The elements between two positions."""
+    return F.slice(ranked, after + 1, F.least(before - after - 1, F.lit(BLOCK_WORDS)))
 
 
-def occurrences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Lines with letters or digits: doc_id, th (hash of the text), line_no from 0, norm, l1, l2 (hashes of norm)."""
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("tx"))
-    lines = rows.select("doc_id", F.xxhash64("tx").alias("th"), F.posexplode(F.split("tx", "\n", -1)).alias("line_no", "line"))
-    lines = lines.select("doc_id", "th", "line_no", normalised(F.col("line")).alias("norm")).where("norm <> ''")
-    return lines.withColumns({"l1": F.xxhash64("norm"), "l2": F.xxhash64("norm", F.lit(1))})
+def _two_of(lines: DataFrame, blocks: int, least: int, most: int) -> DataFrame:
+    """(nid, key) for every two blocks that together have a block's share of the words; hashes and the blocks' bounds are ranked together."""
+    bounds = [F.lit((j << 64) // blocks - (1 << 63)).cast("bigint") for j in range(1, blocks)]
+    ranked = lines.where(F.col("m").between(least, most)).select("nid", "m", F.sort_array(F.concat("hs", F.array(*bounds))).alias("r"))
+    placed = ranked.select("nid", "m", "r", F.lit(0).alias("p0"), *[F.array_position("r", x).cast("int").alias(f"p{j}") for j, x in enumerate(bounds, 1)], (F.size("r") + 1).alias(f"p{blocks}"))
+    cut = placed.select("nid", "m", *[_cut("r", F.col(f"p{j}"), F.col(f"p{j + 1}")).alias(f"w{j}") for j in range(blocks)])
+    prints = cut.select("nid", "m", *[F.size(f"w{j}").alias(f"n{j}") for j in range(blocks)], *[simhash(F.col(f"w{j}"), PAIR_SUMS).alias(f"f{j}") for j in range(blocks)])
+    keys = [F.when((F.col(f"n{i}") + F.col(f"n{j}")) * blocks >= F.col("m"), F.xxhash64(F.lit(blocks << 16 | i << 8 | j), f"f{i}", f"f{j}")) for i, j in combinations(range(blocks), 2)]
+    return prints.select("nid", F.explode(F.array(*keys)).alias("key")).where("key IS NOT NULL")
 
 
-def line_id() -> Column:
-    """Both hashes as 16 bytes."""
-    return F.unhex(F.concat(F.lpad(F.hex("l1"), 16, "0"), F.lpad(F.hex("l2"), 16, "0")))
+def _one_of(lines: DataFrame) -> DataFrame:
+    """(nid, key) for each of the 2 ** bits blocks that isn't empty; hashes and the blocks' bounds are ranked together."""
+    blocks = F.call_function("shiftleft", F.lit(1), F.col("bits"))
+    bound = lambda j: F.call_function("shiftleft", j.cast("bigint"), F.lit(64) - F.col("bits")).bitwiseXOR(F.lit(-(1 << 63)).cast("bigint"))
+    bounds = F.transform(F.sequence(F.lit(1), blocks - 1), bound)
+    ranked = lines.select("nid", "bits", F.sort_array(F.concat("hs", bounds)).alias("r"), bounds.alias("bounds"))
+    ends = F.concat(F.array(F.lit(0)), F.transform("bounds", lambda x: F.array_position(F.col("r"), x).cast("int")), F.array(F.size("r") + 1))
+    placed = ranked.select("nid", "bits", "r", ends.alias("ends"))
+    each = placed.select("nid", "bits", "r", "ends", F.explode(F.sequence(F.lit(1), F.size("ends") - 1)).alias("j"))
+    cut = each.select("nid", "bits", "j", _cut("r", F.element_at("ends", F.col("j")), F.element_at("ends", F.col("j") + 1)).alias("w"))
+    return cut.where("size(w) > 0").select("nid", F.xxhash64("bits", "j", simhash(F.col("w"), LONE_SUMS)).alias("key"))
 
 
-def fingerprints(lines: DataFrame) -> DataFrame:
-    """Per line: doc_id, th, line_no, lid, fp."""
-    own = ["doc_id", "th", "line_no", "l1", "l2"]
-    parts = lines.select(*own, F.split("norm", " ").alias("ws"))
-    parts = parts.select(*own, (F.size("ws") > PART).alias("long"), F.posexplode("ws").alias("pos", "w"))
-    key = [*own, "long", "part"]
-    hashed = parts.select(*own, "long", F.expr(f"pos div {PART}").alias("part"), F.xxhash64("w").alias("h"))
-    sums = hashed.select(*key, *[_lane(F.col("h"), k).alias(f"s{k}") for k in range(8)])
-    counted = sums.groupBy(*key).agg(*[F.sum(f"s{k}").alias(f"c{k}") for k in range(8)], F.count(F.lit(1)).alias("n"))
-    counted = written(counted, "line-counters", codec="none")
-    short = counted.where("NOT long").select("doc_id", "th", "line_no", line_id().alias("lid"), _majority().alias("fp"))
-    halves = [F.sum(F.shiftrightunsigned(f"c{k}", 8 * i).bitwiseAND(F.lit(0x000000FF000000FF))).alias(f"d{k}_{i}") for k in range(8) for i in range(4)]
-    added = counted.where("long").groupBy(*own).agg(*halves, F.sum("n").alias("n"))
-    return short.unionByName(added.select("doc_id", "th", "line_no", line_id().alias("lid"), _long_majority().alias("fp")))
+def _words(norm) -> Column:
+    return F.array_distinct(F.split(norm, " "))
+
+
+def block_keys(distinct: DataFrame) -> DataFrame:
+    """(nid, key) for every key of every line `norm` of m distinct words."""
+    hashed = distinct.select("nid", "m", F.transform(_words("norm"), lambda w: F.xxhash64(w)).alias("hs"))
+    own = F.floor(F.log2(F.col("m") / ONE_FROM + F.lit(1e-9))).cast("int") + 3
+    longer = hashed.where(F.col("m") >= ONE_FROM).withColumn("bits", own)
+    # Lines of fewer words may share only the level below.
+    both = F.when((F.col("bits") > 3) & (F.col("m") < F.call_function("shiftleft", F.lit(ONE_TO), F.col("bits") - 4)), F.array("bits", F.col("bits") - 1)).otherwise(F.array("bits"))
+    longer = longer.select("nid", "hs", F.explode(both).alias("bits"))
+    parts = [_two_of(hashed, *scheme) for scheme in TWO_OF]
+    return parts[0].unionByName(parts[1]).unionByName(_one_of(longer))
 
 
 def judged(pairs: DataFrame, a: str, b: str, least: float) -> DataFrame:
-    """pairs with `linked`: edit similarity 1 - distance / longer length of columns a and b is at least `least`.
+    """pairs with `linked`: columns a and b share words enough, and their edit similarity 1 - distance / longer length is at least `least`.
 
     Words that both begin or end with are left out, which changes no distance; where the word
-    counts agree, the lengths of the words that differ bound the distance and mostly settle it.
+    counts agree, the lengths of the words that differ bound the distance and mostly settle it. What is left is measured within
+    a quarter of the distance allowed first, which costs a quarter and suffices for most.
     """
     longer = F.greatest(F.length(a), F.length(b))
     step = pairs.withColumn("_most", F.floor(longer * F.lit(1 - least) + F.lit(1e-9)).cast("int"))
@@ -121,6 +146,8 @@ def judged(pairs: DataFrame, a: str, b: str, least: float) -> DataFrame:
     step = step.withColumn("_d", unequal)
     step = step.withColumn("_bound", F.when(F.size("_wa") == F.size("_wb"), F.aggregate("_d", F.lit(0), lambda s, x: s + x)))
     step = step.withColumn("_sure", F.coalesce(F.col("_bound") <= F.col("_most"), F.lit(False)))
+    common = F.size(F.array_intersect("_wa", "_wb")) >= F.greatest(F.size(F.array_distinct("_wa")), F.size(F.array_distinct("_wb"))) * F.lit(SHARED_WORDS)
+    step = step.withColumn("_fits", F.col("_fits") & common)
     # The first difference from the front, then from the back of what is left.
     open_ = F.col("_fits") & ~F.col("_sure")
     front = F.array_position(F.transform("_d", lambda x: (x > 0)), F.lit(True)).cast("int")
@@ -132,101 +159,69 @@ def judged(pairs: DataFrame, a: str, b: str, least: float) -> DataFrame:
     for side in "ab":
         middle = F.reverse(F.slice(f"_r{side}", F.col("_q"), F.greatest(F.size(f"_r{side}") - F.col("_q") + 1, F.lit(0))))
         step = step.withColumn(f"_m{side}", F.array_join(F.transform(middle, lambda w: F.concat(w, F.lit(" "))), ""))
-    near = F.expr("levenshtein(_ma, _mb, _most)").between(F.lit(0), F.col("_most"))
-    linked = F.when(~F.col("_fits"), False).when(F.col("_sure"), True).otherwise(near)
-    return step.withColumn("linked", linked).drop("_most", "_fits", "_wa", "_wb", "_d", "_bound", "_sure", "_p", "_ra", "_rb", "_q", "_ma", "_mb")
-
-
-def _block_keys() -> list[Column]:
-    starts = [sum(_WIDTHS[:i]) for i in range(BLOCKS)]
-    block = [F.shiftrightunsigned("fp", s).bitwiseAND(F.lit((1 << w) - 1)) for s, w in zip(starts, _WIDTHS, strict=True)]
-    keys = []
-    for t, chosen in enumerate(combinations(range(BLOCKS), BLOCKS - RADIUS)):
-        key = F.lit(t).cast("bigint")
-        for i in chosen:
-            key = F.shiftleft(key, _WIDTHS[i]).bitwiseOR(block[i])
-        keys.append(key)
-    return keys
-
-
-def fingerprint_pairs(prints: DataFrame) -> DataFrame:
-    """(fa, fb), fa < fb, of all distinct fingerprints `fp` within the radius, each once."""
-    rows = prints.select("fp", F.posexplode(F.array(*_block_keys())).alias("t", "key"))
-    other = rows.select(F.col("fp").alias("fb"), F.col("t").alias("tb"), F.col("key").alias("kb"))
-    near = F.bit_count(F.col("fp").bitwiseXOR(F.col("fb"))) <= RADIUS
-    return rows.join(other, (F.col("t") == F.col("tb")) & (F.col("key") == F.col("kb")) & (F.col("fp") < F.col("fb")) & near).select(F.col("fp").alias("fa"), "fb").distinct()
-
-
-def _joined(edges: DataFrame) -> DataFrame:
-    """components() of edges between line ids, worked out on numbers in the ids' stead."""
-    nodes = edges.select(F.explode(F.array("a", "b")).alias("lid")).distinct()
-    nodes = written(nodes.withColumn("nid", F.monotonically_increasing_id()), "line-nodes")
-    named = edges.join(nodes.select(F.col("lid").alias("a"), F.col("nid").alias("na")), "a").join(nodes.select(F.col("lid").alias("b"), F.col("nid").alias("nb")), "b")
-    found = components(named.select(F.col("na").alias("a"), F.col("nb").alias("b")))
-    of = found.join(nodes.withColumnRenamed("nid", "node"), "node").select("component", "lid")
-    least = of.groupBy("component").agg(F.min("lid").alias("least"))
-    return of.join(least, "component").select(F.col("lid").alias("node"), F.col("least").alias("component"))
-
-
-def groups(lines: DataFrame, distinct: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """(node, component) of the line ids that some link joins; component is the smallest id of the group."""
-    prints = written(distinct.groupBy("fp").agg(F.count(F.lit(1)).alias("nl"), F.min("lid").alias("lead")), "line-prints")
-    several = prints.where("nl > 1")
-    pairs = written(fingerprint_pairs(prints), "line-pairs")
-    ends = pairs.select(F.explode(F.array("fa", "fb")).alias("fp")).unionByName(several.select("fp")).distinct()
-    wanted = distinct.join(ends, "fp", "left_semi").select("lid", "fp")
-    # The lines' texts, once each, of those only that some pair asks for.
-    texts = written(lines.select(line_id().alias("lid"), "norm").join(wanted, "lid").dropDuplicates(["lid"]).select("lid", "fp", "norm"), "line-texts")
-    a = texts.select(F.col("lid").alias("a"), F.col("fp").alias("fa"), F.col("norm").alias("na"))
-    b = texts.select(F.col("lid").alias("b"), F.col("fp").alias("fb"), F.col("norm").alias("nb"))
-    lead_a = a.join(prints.select(F.col("lead").alias("a")), "a", "left_semi")
-    lead_b = b.join(prints.select(F.col("lead").alias("b")), "b", "left_semi")
-    stars = a.join(several.select(F.col("fp").alias("fa")), "fa", "left_semi").join(lead_b, F.col("fa") == F.col("fb")).where("a <> b")
-    across = pairs.join(lead_a, "fa").join(lead_b, "fb")
-    columns = ["a", "b", "na", "nb"]
-    first = judged(stars.select(*columns).unionByName(across.select(*columns)), "na", "nb", similarity)
-    edges = written(first.where("linked").select("a", "b"), "line-links")
-    joined = written(_joined(edges), "line-components")
-    # What is still apart, of fingerprints with several lines: each pair that no lead has judged.
-    crowded = pairs.join(several.select(F.col("fp").alias("fa"), F.lit(1).alias("xa")), "fa", "left").join(several.select(F.col("fp").alias("fb"), F.lit(1).alias("xb")), "fb", "left")
-    crowded = crowded.where("xa = 1 OR xb = 1").select("fa", "fb").unionByName(several.select(F.col("fp").alias("fa"), F.col("fp").alias("fb")))
-    of = texts.join(joined.withColumnRenamed("node", "lid"), "lid", "left").select("lid", "fp", "norm", F.coalesce("component", "lid").alias("cc"))
-    a = of.select(F.col("lid").alias("a"), F.col("fp").alias("fa"), F.col("norm").alias("na"), F.col("cc").alias("ca"))
-    b = of.select(F.col("lid").alias("b"), F.col("fp").alias("fb"), F.col("norm").alias("nb"), F.col("cc").alias("cb"))
-    apart = crowded.join(a, "fa").join(b, "fb").where("ca <> cb AND (fa <> fb OR a < b)")
-    more = written(judged(apart, "na", "nb", similarity).where("linked").select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct(), "line-more-links")
-    if more.isEmpty():
-        return joined
-    upper = _joined(more).select(F.col("node").alias("component"), F.col("component").alias("top"))
-    whole = joined.join(upper, "component", "left").select("node", F.coalesce("top", "component").alias("component"))
-    alone = upper.join(joined.select(F.col("node").alias("component")), "component", "left_anti")
-    return whole.unionByName(alone.select(F.col("component").alias("node"), F.col("top").alias("component")))
+    step = step.withColumn("_left", F.greatest(F.length("_ma"), F.length("_mb")))
+    linked = F.when(~F.col("_fits"), False).when(F.col("_sure") | (F.col("_left") <= F.col("_most")), True)
+    linked = linked.when(F.expr("levenshtein(_ma, _mb, _most div 4) >= 0"), True).otherwise(F.expr("levenshtein(_ma, _mb, _most) >= 0"))
+    return step.withColumn("linked", linked).drop("_most", "_fits", "_wa", "_wb", "_d", "_bound", "_sure", "_p", "_ra", "_rb", "_q", "_ma", "_mb", "_left")
+
+
+def groups(distinct: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """(node, component) of the lines `nid` with text `norm` of m distinct words that some link joins; component is the smallest nid of the group."""
+    with scratch():
+        whole = block_keys(distinct).selectExpr("key", "nid", "count(*) OVER (PARTITION BY key) AS n", "min(nid) OVER (PARTITION BY key) AS lead").where("n > 1")
+        shared = written(whole.select("key", "nid", "lead"), "line-keys", codec="none")
+        wanted = shared.select("nid").distinct()
+        texts = written(distinct.select("nid", "norm").join(wanted, "nid", "left_semi"), "line-texts")
+        a, b = texts.select(F.col("nid").alias("a"), F.col("norm").alias("na")), texts.select(F.col("nid").alias("b"), F.col("norm").alias("nb"))
+
+        def linked(pairs: DataFrame, name: str) -> DataFrame:
+            # Written before it is filtered: a filter would be pushed down and repeat the judgement's steps.
+            return written(judged(pairs.join(b, "b").join(a, "a"), "na", "nb", similarity).select("a", "b", "linked"), name, codec="none").where("linked").select("a", "b")
+
+        met = shared.where("nid <> lead").groupBy("nid", "lead").count()
+        best = met.groupBy("nid").agg(F.max_by("lead", F.struct("count", -F.col("lead"))).alias("a")).select("a", F.col("nid").alias("b"))
+        links = linked(best, "line-links")
+        joined = components(links)
+        of = shared.join(joined.withColumnRenamed("node", "nid"), "nid", "left").select("key", "nid", F.coalesce("component", "nid").alias("c"))
+        sizes = texts.select("nid", F.length("norm").alias("size"))
+        of = written(of.join(sizes, "nid"), "line-apart", codec="none")
+        x, y = (of.select("key", *[F.col(c).alias(f"{c}_{side}") for c in ("nid", "c", "size")]) for side in "xy")
+        fits = F.abs(F.col("size_x") - F.col("size_y")) <= F.greatest("size_x", "size_y") * F.lit(1 - similarity) + F.lit(1e-9)
+        apart = x.join(y, (x["key"] == y["key"]) & (F.col("nid_x") < F.col("nid_y")) & (F.col("c_x") != F.col("c_y")) & fits)
+        more = linked(apart.select(F.col("nid_x").alias("a"), F.col("nid_y").alias("b")).distinct(), "line-more-links")
+        return written(components(links.unionByName(more)), "line-groups", codec="none", keep=True)
 
 
 def decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """Per document: doc_id, n_lines, n_dropped, dropped (line numbers in order)."""
-    lines = occurrences(docs, id_col, text_col)
-    prints = written(fingerprints(lines), "line-fingerprints")
-    first = F.min(F.struct("doc_id", "th", "line_no")).alias("first")
-    distinct = written(prints.groupBy("lid").agg(first, F.first("fp").alias("fp")), "distinct-lines")
-    joined = groups(lines, distinct, similarity)
-    member = distinct.join(joined.withColumnRenamed("node", "lid"), "lid", "left").select("lid", "first", F.coalesce("component", "lid").alias("gid"))
-    member = written(member, "line-groups")
-    keep = member.groupBy("gid").agg(F.min("first").alias("keep"))
-    of = member.join(keep, "gid").select("lid", "keep")
-    seen = prints.select("doc_id", "th", "line_no", "lid").join(of, "lid")
-    dropped = seen.where(~F.struct("doc_id", "th", "line_no").eqNullSafe(F.col("keep")))
-    gone = dropped.groupBy("doc_id", "th").agg(F.array_sort(F.collect_list("line_no")).alias("dropped"))
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("tx"))
-    sizes = rows.select(F.col("doc_id").alias("id_x"), F.xxhash64("tx").alias("th_x"), F.size(F.split("tx", "\n", -1)).cast("bigint").alias("n_lines"))
-    whole = sizes.join(gone, F.col("id_x").eqNullSafe(F.col("doc_id")) & (F.col("th_x") == F.col("th")), "left")
-    none = F.array().cast("array<int>")
-    return whole.select(F.col("id_x").alias("doc_id"), "n_lines", F.size(F.coalesce("dropped", none)).cast("bigint").alias("n_dropped"), F.coalesce("dropped", none).alias("dropped"))
+    return _decided(docs, id_col, text_col, similarity).drop("th")
+
+
+def _decided(docs: DataFrame, id_col: str, text_col: str, similarity: float) -> DataFrame:
+    with scratch():
+        lines = occurrences(docs, id_col, text_col).withColumn("l1", F.xxhash64("norm"))
+        distinct = lines.groupBy("l1", "norm").agg(F.min(F.struct("doc_id", "th", "line_no")).alias("first"))
+        distinct = written(distinct.select(F.monotonically_increasing_id().alias("nid"), "norm", F.size(_words("norm")).alias("m"), "first"), "distinct-lines")
+        joined = groups(distinct, similarity)
+        member = joined.withColumnRenamed("node", "nid").join(distinct.select("nid", "first"), "nid")
+        late = member.join(member.groupBy("component").agg(F.min("first").alias("keep")), "component").where("first <> keep").select("nid")
+        stay = distinct.select("nid", "first.*").join(late, "nid", "left_anti")
+        stay = written(stay.groupBy("doc_id", "th").agg(F.collect_list("line_no").alias("stay")), "kept-lines", keep=True)
+    rows = docs.select(F.col(id_col).cast("bigint").alias("id_x"), F.coalesce(F.col(text_col), F.lit("")).alias("tx"))
+    rows = rows.select("id_x", F.xxhash64("tx").alias("th_x"), F.split("tx", "\n", -1).alias("ls"))
+    full = F.filter(F.transform("ls", lambda x, i: F.when(x.rlike(r"[^\x00-/:-@\[-`{-\x7F]"), i)), lambda i: i.isNotNull())
+    rows = rows.select("id_x", "th_x", F.size("ls").cast("bigint").alias("n_lines"), full.alias("full"))
+    whole = rows.join(stay, rows["id_x"].eqNullSafe(stay["doc_id"]) & (rows["th_x"] == stay["th"]), "left")
+    dropped = F.array_sort(F.array_except("full", F.coalesce("stay", F.array().cast("array<int>"))))
+    whole = whole.select(F.col("id_x").alias("doc_id"), F.col("th_x").alias("th"), "n_lines", dropped.alias("dropped"))
+    return whole.select("doc_id", "th", "n_lines", F.size("dropped").cast("bigint").alias("n_dropped"), "dropped")
 
 
 def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
-    """docs without the dropped lines of each text, all columns kept; null texts stay null. Ids must be unique."""
-    gone = decisions(docs, id_col, text_col, similarity).select(F.col("doc_id").alias("id_x"), F.col("dropped").alias("dropped_x"))
-    joined = docs.join(gone, docs[id_col].eqNullSafe(gone["id_x"]), "left")
-    kept = F.filter(F.split(text_col, "\n", -1), lambda _, i: ~F.array_contains("dropped_x", i))
+    """docs without the dropped lines of each text, all columns kept; null texts stay null."""
+    gid, gth, gone = (free_name(x, docs.columns) for x in ("gone_id", "gone_th", "gone_lines"))
+    found = _decided(docs, id_col, text_col, similarity).select(F.col("doc_id").alias(gid), F.col("th").alias(gth), F.col("dropped").alias(gone)).distinct()
+    th = F.xxhash64(F.coalesce(docs[text_col], F.lit("")))
+    joined = docs.join(found, docs[id_col].cast("bigint").eqNullSafe(found[gid]) & (th == found[gth]), "left")
+    kept = F.filter(F.split(F.col(text_col), "\n", -1), lambda _, i: ~F.array_contains(F.col(gone), i))
     return joined.withColumn(text_col, F.array_join(kept, "\n")).select(*docs.columns)

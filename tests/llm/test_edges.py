@@ -137,3 +137,14 @@ def test_exact_dedup_survives_digest_collisions(spark):
     weak = exact_dedup.decisions(df, digest=lambda t: F.left(F.sha2(t, 256), F.lit(1)))
     true = exact_dedup.decisions(df)
     assert sorted(map(tuple, weak.collect())) == sorted(map(tuple, true.collect()))
+
+
+def test_lines_of_repeated_rows_and_clashing_names(spark):
+    line = " ".join(f"w{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10]}" for i in range(60))
+    rows = [(1, line, "a")] * 4 + [(1, line + "\n" + line, "b"), (None, line, "c"), (None, line, "c"), (2, None, "d"), (3, "", None)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, gone_lines string").withColumns({c: F.lit(c) for c in ("gone_id", "gone_th", "id_x", "dropped_x", "th", "norm")})
+    got = sorted((r.doc_id or 0, r.n_lines, tuple(r.dropped)) for r in line_dedup.decisions(df).collect())
+    assert got == [(0, 1, ()), (0, 1, ()), (1, 1, (0,)), (1, 1, (0,)), (1, 1, (0,)), (1, 1, (0,)), (1, 2, (0, 1)), (2, 1, ()), (3, 1, ())]
+    kept = line_dedup.drop_lines(df)
+    assert kept.columns == df.columns
+    assert sorted((r.gone_lines or "", r.text) for r in kept.collect()) == [("", ""), ("a", ""), ("a", ""), ("a", ""), ("a", ""), ("b", ""), ("c", line), ("c", line), ("d", None)]
