@@ -6,17 +6,17 @@ word votes, with the bits of its XXH64, in the one block that its hash names. A
 so disturbs two blocks at most and leaves the others bit for bit as they were, wherever it
 stands. Lines are candidates if enough blocks agree (pigeonhole):
 
-- lines of fewer than 14 distinct words: 2 of 4 blocks;
-- of 10 to 55: 2 of 5;
-- of 44 on: 1 of 8 blocks, of twice as many blocks for twice as many words.
+- lines of up to 13 words: 2 of 4 blocks;
+- of 10 to 63: 2 of 5;
+- of 50 on: 1 of 8 blocks, of twice as many blocks for twice as many words.
 
 The ranges overlap, so that two lines whose word counts are within a fifth share a scheme. Blocks of too few
-words are no key: an empty one of 8, two that together have not even one block's share. Candidates that share
-three in ten of their words and have an edit similarity of 0.8 or more are linked, and of every connected group the first occurrence (smallest doc_id, then
-line number) stays.
+words are no key: an empty one of 8, two that together have not even one block's share. Candidates whose SimHashes of the whole
+line differ in 14 bits of 64 or fewer (12 from 32 words on, 10 from 64) and whose edit similarity is 0.8 or more are linked,
+and of every connected group the first occurrence (smallest doc_id, then line number) stays.
 
 Each line is first judged against one leader: of the smallest lines of its keys the one with most keys
-in common. Only pairs that share a key and are still in different groups are then compared one by one, so a large
+in common. Only pairs that share a key, are within the radius and are still in different groups are then compared one by one, so a large
 group of variants costs its size and not its square, and no link is lost.
 
 Defined cases: lines without letters and digits are always kept; null and empty texts have one
@@ -41,21 +41,21 @@ SIMILARITY = 0.8
 BLOCK_WORDS = 63
 #: Bits of a block by eights, where two of them are a key and where one is.
 PAIR_SUMS, LONE_SUMS = 3, 5
-#: Blocks of which two must agree, and the least and most distinct words of such lines.
-TWO_OF = ((4, 0, 13), (5, 10, 55))
-#: Distinct words from which 1 of 8 blocks must agree, and those up to which this scheme is used.
-ONE_FROM, ONE_TO = 44, 112
+#: Blocks of which two must agree, and the least and most words of such lines.
+TWO_OF = ((4, 0, 13), (5, 10, 63))
+#: Words from which 1 of 8 blocks must agree, and those below which this scheme is used.
+ONE_FROM, ONE_TO = 50, 128
+#: Differing bits of 64 that the SimHashes of two whole lines may have, by the least words that the shorter has: the more words,
+#: the less a changed one turns.
+RADIUS = ((0, 14), (32, 12), (64, 10))
 
-#: Share of the distinct words of the longer line that both must have; a pair of a similarity of 0.8 nearly always has over 0.7.
-SHARED_WORDS = 0.3
-
-_ONES = 0x0101010101010101
+_ONES = {8: 0x0101010101010101, 16: 0x0001000100010001, 32: 0x0000000100000001}
 
 
 def normalised(text: Column) -> Column:
-    """Every line of a text normalised, but for spaces at its ends."""
-    plain = F.regexp_replace(F.lower(text), r"[\x00-\x09\x0B-/:-`{-\x7F]+", " ")
-    return F.regexp_replace(plain, "[0-9]+", "0")
+    """Every line of a text normalised, but for spaces at its ends. Spaces alone are left to the second step, which rarely finds two."""
+    plain = F.regexp_replace(F.lower(text), r"[\x00-\x09\x0B-\x1F!-/:-`{-\x7F]+", " ")
+    return F.regexp_replace(F.regexp_replace(plain, " {2,}", " "), "[0-9]+", "0")
 
 
 def occurrences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -67,25 +67,32 @@ def occurrences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return lines.select("doc_id", "th", "line_no", F.trim("line").alias("norm")).where("norm <> ''")
 
 
-def _counted(k: int):
-    """Adds bits k, k + 8 and so on of a hash to eight byte-wide counters."""
-    return lambda s, h: s + F.shiftrightunsigned(h, k).bitwiseAND(F.lit(_ONES))
+def _counted(k: int, width: int):
+    """Adds bits k, k + width and so on of a hash to counters of `width` bits."""
+    return lambda s, h: s + F.shiftrightunsigned(h, k).bitwiseAND(F.lit(_ONES[width]).cast("bigint"))
 
 
-def simhash(hashes: Column, sums: int) -> Column:
-    """Of 8 * sums bits, which over half of up to BLOCK_WORDS hashes have.
+def simhash(hashes: Column, sums: int, width: int = 8) -> Column:
+    """Of the hashes' bits k, k + width and so on, k < sums, which over half of the hashes have; there must be fewer than 2 ** (width - 2).
 
-    Each sum holds eight counters, sum k those of bits k, k + 8 and so on. 63 - n / 2 is added
-    to every counter; its bit 6 then says whether it was over half.
+    Each sum holds 64 / width counters. What half of the hashes lacks to the top but one bit of a counter is added
+    to all, and that bit then says whether a count was over half.
     """
-    lift = (F.lit(63) - F.call_function("shiftright", F.size(hashes), F.lit(1))).cast("bigint") * F.lit(_ONES)
+    ones = F.lit(_ONES[width]).cast("bigint")
+    lift = (F.lit((1 << (width - 2)) - 1) - F.call_function("shiftright", F.size(hashes), F.lit(1))).cast("bigint") * ones
     out = F.lit(0).cast("bigint")
     for k in range(sums):
-        count = F.aggregate(hashes, F.lit(0).cast("bigint"), _counted(k))
-        out = out.bitwiseOR(F.shiftleft(F.shiftrightunsigned(count + lift, 6).bitwiseAND(F.lit(_ONES)), k))
+        count = F.aggregate(hashes, F.lit(0).cast("bigint"), _counted(k, width))
+        out = out.bitwiseOR(F.shiftleft(F.shiftrightunsigned(count + lift, width - 2).bitwiseAND(ones), k))
     return out
 
 
+def whole_print(hashes: Column) -> Column:
+    """The 64-bit SimHash of any number of hashes."""
+    n = F.size(hashes)
+    return F.when(n <= BLOCK_WORDS, simhash(hashes, 8)).when(n < 1 << 14, simhash(hashes, 16, 16)).otherwise(simhash(hashes, 32, 32))
+
+
 def _cut(ranked: str, after: Column, before: Column) -> Column:
     """The elements between two positions."""
     return F.slice(ranked, after + 1, F.least(before - after - 1, F.lit(BLOCK_WORDS)))
@@ -94,7 +101,7 @@ def _cut(ranked: str, after: Column, before: Column) -> Column:
 def _two_of(lines: DataFrame, blocks: int, least: int, most: int) -> DataFrame:
     """(nid, key) for every two blocks that together have a block's share of the words; hashes and the blocks' bounds are ranked together."""
     bounds = [F.lit((j << 64) // blocks - (1 << 63)).cast("bigint") for j in range(1, blocks)]
-    ranked = lines.where(F.col("m").between(least, most)).select("nid", "m", F.sort_array(F.concat("hs", F.array(*bounds))).alias("r"))
+    ranked = lines.where(F.col("n").between(least, most)).select("nid", F.size("hs").alias("m"), F.sort_array(F.concat("hs", F.array(*bounds))).alias("r"))
     placed = ranked.select("nid", "m", "r", F.lit(0).alias("p0"), *[F.array_position("r", x).cast("int").alias(f"p{j}") for j, x in enumerate(bounds, 1)], (F.size("r") + 1).alias(f"p{blocks}"))
     cut = placed.select("nid", "m", *[_cut("r", F.col(f"p{j}"), F.col(f"p{j + 1}")).alias(f"w{j}") for j in range(blocks)])
     prints = cut.select("nid", "m", *[F.size(f"w{j}").alias(f"n{j}") for j in range(blocks)], *[simhash(F.col(f"w{j}"), PAIR_SUMS).alias(f"f{j}") for j in range(blocks)])
@@ -115,79 +122,109 @@ def _one_of(lines: DataFrame) -> DataFrame:
     return cut.where("size(w) > 0").select("nid", F.xxhash64("bits", "j", simhash(F.col("w"), LONE_SUMS)).alias("key"))
 
 
-def _words(norm) -> Column:
-    return F.array_distinct(F.split(norm, " "))
+def _hashes(norm: str) -> Column:
+    """Of the distinct words."""
+    return F.transform(F.array_distinct(F.split(norm, " ")), lambda w: F.xxhash64(w))
+
+
+def _count(norm: str) -> Column:
+    """Words of a normalised line."""
+    return F.length(norm) - F.length(F.replace(norm, F.lit(" "), F.lit(""))) + 1
 
 
 def block_keys(distinct: DataFrame) -> DataFrame:
-    """(nid, key) for every key of every line `norm` of m distinct words."""
-    hashed = distinct.select("nid", "m", F.transform(_words("norm"), lambda w: F.xxhash64(w)).alias("hs"))
-    own = F.floor(F.log2(F.col("m") / ONE_FROM + F.lit(1e-9))).cast("int") + 3
-    longer = hashed.where(F.col("m") >= ONE_FROM).withColumn("bits", own)
+    """(nid, key) for every key of every line `norm`."""
+    sized = distinct.select("nid", "norm", _count("norm").alias("n"))
+    hashed = sized.select("nid", "n", _hashes("norm").alias("hs"))
+    own = F.floor(F.log2(F.col("n") / ONE_FROM + F.lit(1e-9))).cast("int") + 3
+    longer = hashed.where(F.col("n") >= ONE_FROM).withColumn("bits", own)
     # Lines of fewer words may share only the level below.
-    both = F.when((F.col("bits") > 3) & (F.col("m") < F.call_function("shiftleft", F.lit(ONE_TO), F.col("bits") - 4)), F.array("bits", F.col("bits") - 1)).otherwise(F.array("bits"))
+    both = F.when((F.col("bits") > 3) & (F.col("n") < F.call_function("shiftleft", F.lit(ONE_TO), F.col("bits") - 4)), F.array("bits", F.col("bits") - 1)).otherwise(F.array("bits"))
     longer = longer.select("nid", "hs", F.explode(both).alias("bits"))
     parts = [_two_of(hashed, *scheme) for scheme in TWO_OF]
     return parts[0].unionByName(parts[1]).unionByName(_one_of(longer))
 
 
 def judged(pairs: DataFrame, a: str, b: str, least: float) -> DataFrame:
-    """pairs with `linked`: columns a and b share words enough, and their edit similarity 1 - distance / longer length is at least `least`.
+    """pairs with `linked`: edit similarity 1 - distance / longer length of columns a and b is at least `least`.
 
-    Words that both begin or end with are left out, which changes no distance; where the word
-    counts agree, the lengths of the words that differ bound the distance and mostly settle it. What is left is measured within
-    a quarter of the distance allowed first, which costs a quarter and suffices for most.
+    Words are compared from the front and from the back. Where the word counts agree, the lengths of the words that differ bound
+    the distance; where they don't, a split of the words into a front and a back bounds it, the words left between them being
+    no longer than the difference of the lines and of the words that differ. That settles most. Of the rest, words that
+    both begin or end with are left out, which changes no distance, and what is left is measured within
+    a quarter of the distance allowed first, which costs a quarter.
     """
     longer = F.greatest(F.length(a), F.length(b))
     step = pairs.withColumn("_most", F.floor(longer * F.lit(1 - least) + F.lit(1e-9)).cast("int"))
-    step = step.withColumn("_fits", F.abs(F.length(a) - F.length(b)) <= F.col("_most"))
+    step = step.withColumn("_apart", F.abs(F.length(a) - F.length(b)))
+    step = step.withColumn("_fits", F.col("_apart") <= F.col("_most"))
     step = step.withColumn("_wa", F.when(F.col("_fits"), F.split(a, " "))).withColumn("_wb", F.when(F.col("_fits"), F.split(b, " ")))
-    unequal = F.zip_with("_wa", "_wb", lambda x, y: F.when(x.eqNullSafe(y), 0).otherwise(F.greatest(F.length(x), F.length(y))))
-    step = step.withColumn("_d", unequal)
-    step = step.withColumn("_bound", F.when(F.size("_wa") == F.size("_wb"), F.aggregate("_d", F.lit(0), lambda s, x: s + x)))
-    step = step.withColumn("_sure", F.coalesce(F.col("_bound") <= F.col("_most"), F.lit(False)))
-    common = F.size(F.array_intersect("_wa", "_wb")) >= F.greatest(F.size(F.array_distinct("_wa")), F.size(F.array_distinct("_wb"))) * F.lit(SHARED_WORDS)
-    step = step.withColumn("_fits", F.col("_fits") & common)
-    # The first difference from the front, then from the back of what is left.
+    step = step.withColumn("_n", F.least(F.size("_wa"), F.size("_wb")))
+    differ = lambda x, y: F.when(x == y, 0).otherwise(F.greatest(F.length(x), F.length(y)))
+    step = step.withColumn("_front", F.zip_with(F.slice("_wa", 1, F.col("_n")), F.slice("_wb", 1, F.col("_n")), differ))
+    last = [F.slice(w, F.size(w) - F.col("_n") + 1, F.col("_n")) for w in ("_wa", "_wb")]
+    step = step.withColumn("_back", F.when(F.size("_wa") == F.size("_wb"), F.col("_front")).otherwise(F.zip_with(*last, differ)))
+    total = F.aggregate("_back", F.lit(0), lambda s, x: s + x)
+    step = step.withColumn("_total", total)
+    # (front up to here and back from here on, the least such sum)
+    start = F.struct(F.col("_total").alias("now"), F.col("_total").alias("least"))
+
+    def moved(s: Column, x: Column) -> Column:
+        now = s["now"] + x["_front"] - x["_back"]
+        return F.struct(now.alias("now"), F.least(s["least"], now).alias("least"))
+
+    split = F.aggregate(F.arrays_zip("_front", "_back"), start, moved, lambda s: s["least"])
+    bound = F.when(F.size("_wa") == F.size("_wb"), F.col("_total")).otherwise(split * 2 + F.col("_apart"))
+    step = step.withColumn("_sure", F.coalesce(bound <= F.col("_most"), F.lit(False)))
     open_ = F.col("_fits") & ~F.col("_sure")
-    front = F.array_position(F.transform("_d", lambda x: (x > 0)), F.lit(True)).cast("int")
-    step = step.withColumn("_p", F.when(open_, F.when(front == 0, F.least(F.size("_wa"), F.size("_wb")) + 1).otherwise(front)))
-    for side in "ab":
-        step = step.withColumn(f"_r{side}", F.reverse(F.slice(f"_w{side}", F.col("_p"), F.greatest(F.size(f"_w{side}") - F.col("_p") + 1, F.lit(0)))))
-    back = F.array_position(F.zip_with("_ra", "_rb", lambda x, y: ~x.eqNullSafe(y)), F.lit(True)).cast("int")
-    step = step.withColumn("_q", F.when(back == 0, F.least(F.size("_ra"), F.size("_rb")) + 1).otherwise(back))
+    # Words alike at the front, and at the back of what is left.
+    front = F.array_position(F.transform("_front", lambda x: x > 0), F.lit(True)).cast("int")
+    step = step.withColumn("_p", F.when(open_, F.when(front == 0, F.col("_n")).otherwise(front - 1)))
+    back = F.array_position(F.transform(F.reverse("_back"), lambda x: x > 0), F.lit(True)).cast("int")
+    step = step.withColumn("_q", F.least(F.when(back == 0, F.col("_n")).otherwise(back - 1), F.col("_n") - F.col("_p")))
     for side in "ab":
-        middle = F.reverse(F.slice(f"_r{side}", F.col("_q"), F.greatest(F.size(f"_r{side}") - F.col("_q") + 1, F.lit(0))))
-        step = step.withColumn(f"_m{side}", F.array_join(F.transform(middle, lambda w: F.concat(w, F.lit(" "))), ""))
-    step = step.withColumn("_left", F.greatest(F.length("_ma"), F.length("_mb")))
-    linked = F.when(~F.col("_fits"), False).when(F.col("_sure") | (F.col("_left") <= F.col("_most")), True)
+        middle = F.slice(f"_w{side}", F.col("_p") + 1, F.size(f"_w{side}") - F.col("_p") - F.col("_q"))
+        step = step.withColumn(f"_m{side}", F.array_join(middle, " "))
+    # One middle may be empty; the space that its neighbour then has more counts as one.
+    spare = F.when((F.length("_ma") == 0) != (F.length("_mb") == 0), 1).otherwise(0)
+    step = step.withColumn("_left", F.greatest(F.length("_ma"), F.length("_mb")) + spare)
+    linked = F.when(~F.col("_fits"), False).when(F.col("_sure") | (F.col("_left") <= F.col("_most")), True).when(spare == 1, False)
     linked = linked.when(F.expr("levenshtein(_ma, _mb, _most div 4) >= 0"), True).otherwise(F.expr("levenshtein(_ma, _mb, _most) >= 0"))
-    return step.withColumn("linked", linked).drop("_most", "_fits", "_wa", "_wb", "_d", "_bound", "_sure", "_p", "_ra", "_rb", "_q", "_ma", "_mb", "_left")
+    own = ("_most", "_apart", "_fits", "_wa", "_wb", "_n", "_front", "_back", "_total", "_sure", "_p", "_q", "_ma", "_mb", "_left")
+    return step.withColumn("linked", linked).drop(*own)
+
+
+def _close(x: str, y: str) -> Column:
+    """Whether fp and n of both sides, suffixed x and y, are within the radius."""
+    n = F.least(f"n_{x}", f"n_{y}")
+    most = F.lit(RADIUS[0][1])
+    for least, bits in RADIUS[1:]:
+        most = F.when(n >= least, bits).otherwise(most)
+    return F.bit_count(F.col(f"fp_{x}").bitwiseXOR(F.col(f"fp_{y}"))) <= most
 
 
 def groups(distinct: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """(node, component) of the lines `nid` with text `norm` of m distinct words that some link joins; component is the smallest nid of the group."""
+    """(node, component) of the lines `nid` with text `norm` that some link joins; component is the smallest nid of the group."""
     with scratch():
         whole = block_keys(distinct).selectExpr("key", "nid", "count(*) OVER (PARTITION BY key) AS n", "min(nid) OVER (PARTITION BY key) AS lead").where("n > 1")
         shared = written(whole.select("key", "nid", "lead"), "line-keys", codec="none")
-        wanted = shared.select("nid").distinct()
-        texts = written(distinct.select("nid", "norm").join(wanted, "nid", "left_semi"), "line-texts")
-        a, b = texts.select(F.col("nid").alias("a"), F.col("norm").alias("na")), texts.select(F.col("nid").alias("b"), F.col("norm").alias("nb"))
+        wanted = distinct.select("nid", "norm").join(shared.select("nid").distinct(), "nid", "left_semi")
+        texts = written(wanted.withColumn("hs", _hashes("norm")).select("nid", "norm", _count("norm").alias("n"), whole_print(F.col("hs")).alias("fp")), "line-texts")
+        a, b = (texts.select(F.col("nid").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("norm", "n", "fp")]) for x in "ab")
 
         def linked(pairs: DataFrame, name: str) -> DataFrame:
+            both = pairs.join(b, "b").join(a, "a").where(_close("a", "b"))
             # Written before it is filtered: a filter would be pushed down and repeat the judgement's steps.
-            return written(judged(pairs.join(b, "b").join(a, "a"), "na", "nb", similarity).select("a", "b", "linked"), name, codec="none").where("linked").select("a", "b")
+            return written(judged(both, "norm_a", "norm_b", similarity).select("a", "b", "linked"), name, codec="none").where("linked").select("a", "b")
 
         met = shared.where("nid <> lead").groupBy("nid", "lead").count()
         best = met.groupBy("nid").agg(F.max_by("lead", F.struct("count", -F.col("lead"))).alias("a")).select("a", F.col("nid").alias("b"))
         links = linked(best, "line-links")
-        joined = components(links)
-        of = shared.join(joined.withColumnRenamed("node", "nid"), "nid", "left").select("key", "nid", F.coalesce("component", "nid").alias("c"))
-        sizes = texts.select("nid", F.length("norm").alias("size"))
-        of = written(of.join(sizes, "nid"), "line-apart", codec="none")
-        x, y = (of.select("key", *[F.col(c).alias(f"{c}_{side}") for c in ("nid", "c", "size")]) for side in "xy")
+        of = texts.select("nid", "n", "fp", F.length("norm").alias("size")).join(components(links).withColumnRenamed("node", "nid"), "nid", "left")
+        of = written(shared.join(of, "nid").select("key", "nid", F.coalesce("component", "nid").alias("c"), "size", "n", "fp"), "line-apart", codec="none")
+        x, y = (of.select("key", *[F.col(c).alias(f"{c}_{side}") for c in ("nid", "c", "size", "n", "fp")]) for side in "xy")
         fits = F.abs(F.col("size_x") - F.col("size_y")) <= F.greatest("size_x", "size_y") * F.lit(1 - similarity) + F.lit(1e-9)
-        apart = x.join(y, (x["key"] == y["key"]) & (F.col("nid_x") < F.col("nid_y")) & (F.col("c_x") != F.col("c_y")) & fits)
+        apart = x.join(y, (x["key"] == y["key"]) & (F.col("nid_x") < F.col("nid_y")) & (F.col("c_x") != F.col("c_y")) & fits & _close("x", "y"))
         more = linked(apart.select(F.col("nid_x").alias("a"), F.col("nid_y").alias("b")).distinct(), "line-more-links")
         return written(components(links.unionByName(more)), "line-groups", codec="none", keep=True)
 
@@ -201,7 +238,7 @@ def _decided(docs: DataFrame, id_col: str, text_col: str, similarity: float) ->
     with scratch():
         lines = occurrences(docs, id_col, text_col).withColumn("l1", F.xxhash64("norm"))
         distinct = lines.groupBy("l1", "norm").agg(F.min(F.struct("doc_id", "th", "line_no")).alias("first"))
-        distinct = written(distinct.select(F.monotonically_increasing_id().alias("nid"), "norm", F.size(_words("norm")).alias("m"), "first"), "distinct-lines")
+        distinct = written(distinct.select(F.monotonically_increasing_id().alias("nid"), "norm", "first"), "distinct-lines")
         joined = groups(distinct, similarity)
         member = joined.withColumnRenamed("node", "nid").join(distinct.select("nid", "first"), "nid")
         late = member.join(member.groupBy("component").agg(F.min("first").alias("keep")), "component").where("first <> keep").select("nid")
