@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import byte_bpe, decontaminate, exact_dedup, language, near_text
+from tessera.llm import byte_bpe, decontaminate, exact_dedup, language, simhash_near
 from tessera.llm.common import written
 
 
@@ -26,9 +26,9 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group joined by a Jaccard similarity of 0.8 or more of five-word shingles the document with the smallest id.
 
-    op8's three words and 2 bits reach only copies that are almost identical.
+    op8's three words and 2 bits reach only copies that are almost identical; this compares op8's way within a wider radius and verifies.
     """
-    return near_text.drop_near_copies(docs)
+    return simhash_near.drop_near_copies(docs)
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

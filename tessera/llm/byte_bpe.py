@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import column_text, slices, small_batches
+from .common import column_text, slices
 
 #: Pre-tokens whose ids a worker remembers.
 MEMORY = 500_000
@@ -167,7 +167,6 @@ def _digest_rows(ranks_path: str, pattern: str, id_col: str, text_col: str):
 
 def digests(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, n_tokens, ids_sha256, decoded_sha256 (of the text decoded from the ids)."""
-    small_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(id_col, text_col)
     return rows.mapInArrow(_digest_rows(ranks_path, pattern, id_col, text_col), f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
@@ -175,7 +174,6 @@ def digests(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_i
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text", into: str = "token_ids", checked: bool = False) -> DataFrame:
     """docs with the ids as array<int> in column `into`; if checked, also n_tokens, ids_sha256 and decoded_sha256."""
-    small_batches(docs.sparkSession)
     more = ["n_tokens", "ids_sha256", "decoded_sha256"] if checked else []
     kept = [f for f in docs.schema if f.name not in {into, *more}]
     schema = T.StructType(kept + [T.StructField(into, T.ArrayType(T.IntegerType()))] + [T.StructField(x, T.LongType() if x == "n_tokens" else T.StringType()) for x in more])
@@ -198,7 +196,6 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text
 
 def decode(tokens: DataFrame, ranks_path: str, pattern: str, ids_col: str = "token_ids", into: str = "decoded") -> DataFrame:
     """tokens with the decoded bytes in column `into`."""
-    small_batches(tokens.sparkSession)
     schema = T.StructType([f for f in tokens.schema if f.name != into] + [T.StructField(into, T.BinaryType())])
     rows = tokens.select(*[f.name for f in schema if f.name != into])
 

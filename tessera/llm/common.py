@@ -76,11 +76,6 @@ def free_name(wanted: str, taken) -> str:
     return wanted
 
 
-def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Arrow batches that stay small even where every text is very long."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-
-
 def texts(batch: pa.RecordBatch, column: int | str) -> list[bytes]:
     """A string column as UTF-8 bytes; null counts as empty."""
     col = batch.column(column)

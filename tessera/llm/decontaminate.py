@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import column_bytes, slices, small_batches
+from .common import column_bytes, slices
 from .fm_index import FMIndex
 
 WINDOW = 10
@@ -164,7 +164,6 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Per row of docs: doc_id, n_words, spans (word positions, merged), items (ids as strings, sorted)."""
     spark = docs.sparkSession
-    small_batches(spark)
     rows = docs.select(F.col(id_col).cast("bigint").alias(id_col), text_col)
     parts = []
     for block in item_blocks(benchmark, item_col, item_text_col, block_bytes):
@@ -202,7 +201,6 @@ def digests(found: DataFrame) -> DataFrame:
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """docs without the rows that hold a phrase of the benchmark, all columns kept; one pass for each block of items."""
     spark = docs.sparkSession
-    small_batches(spark)
 
     def clean(shared):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import column_bytes, slices, small_batches
+from .common import column_bytes, slices
 
 #: Training documents taken of each language, on average; the only bounded part.
 TRAIN_DOCS = 2000
@@ -136,7 +136,6 @@ def _count(id_col: str, text_col: str, lang_col: str):
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", train: Column | None = None, most: int = TRAIN_DOCS) -> Model:
     """The model of a sample of about `most` documents a language among those that `train` allows, chosen by the hash of their ids."""
-    small_batches(docs.sparkSession)
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull())
     rows = rows if train is None else rows.where(train)
     counts = {r[0]: r[1] for r in rows.groupBy(lang_col).count().collect()}
@@ -183,7 +182,6 @@ def _predict(shared, id_col: str, text_col: str):
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, lang_pred, score, languages (the chosen set, largest share first)."""
-    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     rows = docs.select(F.col(id_col).cast("bigint").alias(id_col), text_col)
     return rows.mapInArrow(_predict(shared, id_col, text_col), "doc_id bigint, lang_pred string, score double, languages array<string>")
@@ -195,7 +193,6 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 def drop_unknown(docs: DataFrame, model: Model, text_col: str = "text", least: float = LEAST_SCORE) -> DataFrame:
     """docs without those that have no language or too small a share of the one they have, all columns kept."""
-    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -68,7 +68,6 @@ def batches_of(rows: Iterator[tuple[int, int, bytes]], most: int = 4 << 20) -> I
 
 def meet(rows: DataFrame, work: Callable[[int, dict[int, list[bytes]]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """work(bucket, payloads by kind) for every bucket, one bucket in memory at a time."""
-    rows.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "64")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket, held = None, {}

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import column_bytes, slices, small_batches
+from .common import column_bytes, slices
 from .decontaminate import words
 
 #: Labelled rows to fit on, on average; the only bounded part.
@@ -182,7 +182,6 @@ def _feature_rows(text_col: str, stated_col: str):
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", stated_col: str = "n_chars", label_col: str = "quality", train_rows: Column | None = None, most: int = TRAIN_DOCS) -> Machine:
     """The machine of about `most` labelled rows among those that `train_rows` allows, chosen by the hash of their ids."""
-    small_batches(docs.sparkSession)
     rows = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
     rows = (rows if train_rows is None else rows.where(train_rows)).select(F.col(id_col).alias("id_x"), F.col(label_col).cast("int").alias("label_x")).dropDuplicates(["id_x"])
     n = rows.count()
@@ -218,7 +217,6 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 def score(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: str = "text", stated_col: str = "n_chars") -> DataFrame:
     """Per row: doc_id, score."""
-    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(machine)
     rows = docs.select(F.col(id_col).cast("bigint").alias(id_col), text_col, F.col(stated_col).cast("bigint").alias(stated_col))
     return rows.mapInArrow(_score(shared, id_col, text_col, stated_col), "doc_id bigint, score double")

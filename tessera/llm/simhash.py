@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import column_bytes, slices, small_batches, written
+from .common import column_bytes, slices, written
 from .components import components
 
 WORDS = 3
@@ -35,22 +35,31 @@ BLOCKS = 4
 CHUNK = 1 << 19
 
 
-def fingerprint(text: bytes, words: int = WORDS) -> int:
-    from xxhash import xxh64_intdigest
-
+def shingles(text: bytes, words: int) -> list[bytes]:
+    """Every run of `words` words, repeats included; fewer words are one shingle, none are none."""
     tokens = text.lower().split()
-    if not tokens:
-        return 0
     if len(tokens) <= words:
-        shingles = [b" ".join(tokens)]
-    else:
-        shingles = list(map(b" ".join, zip(*(tokens[i:] for i in range(words)), strict=False)))
-    hashes = np.fromiter(map(xxh64_intdigest, shingles, repeat(SEED)), np.uint64, len(shingles))
+        return [b" ".join(tokens)] if tokens else []
+    return list(map(b" ".join, zip(*(tokens[i:] for i in range(words)), strict=False)))
+
+
+def hashes(of: list[bytes]) -> np.ndarray:
+    from xxhash import xxh64_intdigest
+
+    return np.fromiter(map(xxh64_intdigest, of, repeat(SEED)), np.uint64, len(of))
+
+
+def fingerprint(text: bytes, words: int = WORDS) -> int:
+    return majority(hashes(shingles(text, words)))
+
+
+def majority(own: np.ndarray) -> int:
+    """The bits that over half of the hashes have; of no hashes zero."""
     ones = np.zeros(64, np.int64)
-    for a in range(0, len(hashes), 1 << 16):
-        part = hashes[a : a + (1 << 16)]
+    for a in range(0, len(own), 1 << 16):
+        part = own[a : a + (1 << 16)]
         ones += np.unpackbits(part.view(np.uint8), bitorder="little").reshape(len(part), 64).sum(axis=0, dtype=np.int32)
-    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
+    return int(np.packbits(2 * ones > len(own), bitorder="little").view("<u8")[0])
 
 
 def text_hash(text_col: str):
@@ -60,7 +69,6 @@ def text_hash(text_col: str):
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS) -> DataFrame:
     """Per row: doc_id, th (hash of the text), fp (the fingerprint as a signed long)."""
-    small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in slices(batches, text_col):
@@ -111,12 +119,11 @@ def close_at(planes: np.ndarray, lag: int, words: np.ndarray, mask: np.ndarray,
     return words, alive
 
 
-def linked(bucket: np.ndarray, fp: np.ndarray, order: list[int], radius: int = RADIUS) -> np.ndarray:
-    """For fingerprints sorted by bucket: a label each, equal within a bucket if a chain of pairs within the radius joins them."""
+def close_pairs(bucket: np.ndarray, fp: np.ndarray, order: list[int], radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For fingerprints sorted by bucket: the pairs (i, j), i < j, of a bucket that are within the radius, by ascending j - i."""
     n = len(fp)
-    label = np.arange(n)
     if n < 2:
-        return label
+        return
     ends = np.append(np.flatnonzero(bucket[1:] != bucket[:-1]) + 1, n)
     ahead = np.repeat(ends, np.diff(np.concatenate([[0], ends]))) - 1 - np.arange(n)
     planes = bit_planes(fp)
@@ -131,11 +138,17 @@ def linked(bucket: np.ndarray, fp: np.ndarray, order: list[int], radius: int = R
         at = np.flatnonzero(furthest >= lag)
         mask = np.packbits(padded[at] >= lag, axis=1, bitorder="little").view("<u8")[:, 0]
         at, alive = close_at(planes, lag, at, mask, order, radius)
-        if not len(at):
-            continue
-        row, bit = np.nonzero(np.unpackbits(alive.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little"))
-        i = at[row] * 64 + bit
-        j = i + lag
+        if len(at):
+            row, bit = np.nonzero(np.unpackbits(alive.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little"))
+            i = at[row] * 64 + bit
+            yield i, i + lag
+
+
+def linked(bucket: np.ndarray, fp: np.ndarray, order: list[int], radius: int = RADIUS) -> np.ndarray:
+    """For fingerprints sorted by bucket: a label each, equal within a bucket if a chain of pairs within the radius joins them."""
+    n = len(fp)
+    label = np.arange(n)
+    for i, j in close_pairs(bucket, fp, order, radius):
         while True:
             a, b = label[i], label[j]
             apart = a != b
@@ -169,24 +182,29 @@ def _pairs_within(radius: int, blocks: int):
             b.append(rep[own][label[moved]])
         return pa.RecordBatch.from_arrays([pa.array(np.concatenate(a), pa.int64()), pa.array(np.concatenate(b), pa.int64())], names=["a", "b"])
 
+    return by_bucket(4, 2, compare)
+
+
+def by_bucket(width: int, key: int, work):
+    """Runs `work` over batches of `width` columns sorted by their first `key` columns, CHUNK rows or so at a time, no bucket in two."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[np.ndarray]] = []
         size = 0
         for batch in batches:
-            cols = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)]
-            held.append(cols)
+            held.append([batch.column(i).to_numpy(zero_copy_only=False) for i in range(width)])
             size += batch.num_rows
             if size < CHUNK:
                 continue
-            t, key, fp, rep = (np.concatenate(c) for c in zip(*held, strict=True))
+            cols = [np.concatenate(c) for c in zip(*held, strict=True)]
             # The last bucket may go on in the next batch.
-            new = np.flatnonzero((t[1:] != t[:-1]) | (key[1:] != key[:-1]))
+            new = np.flatnonzero(np.logical_or.reduce([c[1:] != c[:-1] for c in cols[:key]]))
             cut = int(new[-1]) + 1 if len(new) else 0
             if cut:
-                yield compare(t[:cut], key[:cut], fp[:cut], rep[:cut])
-            held, size = [[t[cut:], key[cut:], fp[cut:], rep[cut:]]], len(t) - cut if cut else 0
+                yield work(*(c[:cut] for c in cols))
+            held, size = [[c[cut:] for c in cols]], len(cols[0]) - cut if cut else 0
         if held:
-            yield compare(*(np.concatenate(c) for c in zip(*held, strict=True)))
+            yield work(*(np.concatenate(c) for c in zip(*held, strict=True)))
 
     return run
 
@@ -210,10 +228,8 @@ def links(distinct: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) -> Da
 
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
     """Per row of docs: doc_id, th, fp, component_id."""
-    spark = docs.sparkSession
     prints = written(fingerprints(docs, id_col, text_col, words), "fingerprints", codec="none")
     distinct = written(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")), "distinct-fingerprints", codec="none")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50000")
     joined = components(links(distinct, radius, blocks))
     of = distinct.join(joined.withColumnRenamed("node", "rep"), "rep", "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
     return prints.join(of, "fp")

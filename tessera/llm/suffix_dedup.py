@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import suffix_core as core
-from .common import column_bytes, slices, small_batches, written
+from .common import column_bytes, slices, written
 from .packed import BUCKET_BYTES, SCHEMA, batches_of, dump, joined, load, meet, split_by, unzip
 
 ANCHOR, FLAG, REP, TEXT, CONTEXT = range(5)
@@ -325,7 +325,6 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wit
     buckets = max(8, -(-int(total) // bucket_bytes))
 
     def scan(work) -> DataFrame:
-        small_batches(spark, 500)
         return rows.mapInArrow(_rows(work, buckets), SCHEMA)
 
     found = written(meet(scan(_find), _resolve_anchors(buckets), SCHEMA), "suffix-anchors")

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import column_bytes, slices, small_batches, written
+from .common import column_bytes, slices, written
 
 BLOCK = 128
 MAGIC = b"PFOR1\0\0\0"
@@ -248,7 +248,6 @@ def _to_files(path: str, end_id: int, id_col: str, text_col: str, file_ids: int)
 
 def write_files(docs: DataFrame, tokenizer_path: str, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text", file_ids: int = FILE_IDS) -> DataFrame:
     """The files as rows (task, part, n_docs, n_ids, body) of a written table, in ascending id order by (task, part)."""
-    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("bigint").alias(id_col), text_col)
     ordered = rows.repartitionByRange(id_col).sortWithinPartitions(F.col(id_col).asc_nulls_first(), F.xxhash64(text_col))
     files = ordered.mapInArrow(_to_files(tokenizer_path, end_id, id_col, text_col, file_ids), "task int, part int, n_docs bigint, n_ids bigint, body binary")
@@ -273,7 +272,6 @@ def _from_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def read_files(files: DataFrame) -> DataFrame:
     """Per document, from the files' bytes: doc_id, start (ids of all documents before it), n_tokens, ids_crc32."""
     spark = files.sparkSession
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
     docs = files.select("task", "part", "body").mapInArrow(_from_files, "task int, part int, doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
     # One row a file: thousands of rows for a thousand times as many documents.
     before = Window.orderBy("task", "part").rowsBetween(Window.unboundedPreceding, -1)

@@ -3,7 +3,7 @@
 import duckdb
 import pytest
 
-from tessera.llm import byte_bpe, catalog, simhash
+from tessera.llm import byte_bpe, catalog, simhash_near
 
 P = pytest.importorskip("public_tokenizers")
 
@@ -29,14 +29,14 @@ def test_pipeline(spark, sf_dir):
     for i in sorted(alive):
         last[docs[i]] = i
     ids = sorted(last.values())
-    prints = {i: simhash.fingerprint(docs[i].encode()) for i in ids}
+    own = {i: simhash_near.distinct_shingles(docs[i].encode()) for i in ids}
     root = {i: i for i in ids}
     changed = True
     while changed:
         changed = False
         for a in ids:
             for b in ids:
-                if (prints[a] ^ prints[b]).bit_count() <= 2 and root[b] < root[a]:
+                if root[b] < root[a] and 10 * len(own[a] & own[b]) >= 8 * len(own[a] | own[b]):
                     root[a], changed = root[b], True
     ids = [i for i in ids if root[i] == i]
     leaks = {r.doc_id for r in catalog.op1_decontaminate(spark, sf_dir).where("contaminated").collect()}
