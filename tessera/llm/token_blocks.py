@@ -4,8 +4,8 @@ A file holds the ids of consecutive documents in blocks of 128. Of each block th
 subtracted and the rest packed at the width that its 90th percentile needs; values that do
 not fit stand in the block's exception list. Layout, little-endian:
 
-    "PFOR1\\0\\0\\0" | n_docs u64 | n_ids u64 | n_blocks u64
-    doc_id i64 [n_docs], null ids as the smallest i64 | n_tokens u64 [n_docs]
+    "PFOR2\\0\\0\\0" | n_docs u64 | n_ids u64 | n_blocks u64
+    doc_id i64 [n_docs] | whether the id is null u8 [n_docs] | n_tokens u64 [n_docs]
     block start in the body u64 [n_blocks] | minimum u32 [n_blocks] | width u8 [n_blocks] | exceptions u8 [n_blocks]
     body: per block 16 * width bytes of packed bits, then exception places u8, then exception values u32
 
@@ -34,12 +34,11 @@ from pyspark.sql import functions as F
 from .common import column_bytes, slices, written
 
 BLOCK = 128
-MAGIC = b"PFOR1\0\0\0"
+MAGIC = b"PFOR2\0\0\0"
 #: Share of a block's values that fit its width.
 FIT = 0.9
 #: Ids in a file, give or take a document.
 FILE_IDS = 1 << 20
-NULL_ID = -(1 << 63)
 
 
 def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, bytes]:
@@ -107,7 +106,7 @@ def unpack(starts, low, width, n_odd, body: bytes, n: int) -> np.ndarray:
 def dump(doc_ids: list[int | None], counts: list[int], ids: np.ndarray) -> bytes:
     starts, low, width, n_odd, body = pack(ids)
     head = np.array([len(doc_ids), len(ids), len(starts)], "<u8").tobytes()
-    docs = np.array([NULL_ID if d is None else d for d in doc_ids], "<i8").tobytes() + np.array(counts, "<u8").tobytes()
+    docs = np.array([d or 0 for d in doc_ids], "<i8").tobytes() + np.array([d is None for d in doc_ids], np.uint8).tobytes() + np.array(counts, "<u8").tobytes()
     return b"".join([MAGIC, head, docs, starts.astype("<u8").tobytes(), low.astype("<u4").tobytes(), width.tobytes(), n_odd.tobytes(), body])
 
 
@@ -120,8 +119,9 @@ class Reader:
         n_docs, self.n_ids, n_blocks = (int(x) for x in np.frombuffer(data, "<u8", 3, 8))
         at = 32
         self.doc_ids = np.frombuffer(data, "<i8", n_docs, at)
-        self.counts = np.frombuffer(data, "<u8", n_docs, at + 8 * n_docs).astype(np.int64)
-        at += 16 * n_docs
+        self.null = np.frombuffer(data, np.uint8, n_docs, at + 8 * n_docs).astype(bool)
+        self.counts = np.frombuffer(data, "<u8", n_docs, at + 9 * n_docs).astype(np.int64)
+        at += 17 * n_docs
         self.starts = np.frombuffer(data, "<u8", n_blocks, at)
         self.low = np.frombuffer(data, "<u4", n_blocks, at + 8 * n_blocks)
         self.width = np.frombuffer(data, np.uint8, n_blocks, at + 12 * n_blocks)
@@ -137,8 +137,10 @@ class Reader:
         return whole[start - a * BLOCK :][:count]
 
 
-#: Marks behind a letter or digit and before white space; apostrophes stay, as the splitter has contractions.
-_TRAILING = re.compile(rb"(?<=[A-Za-z0-9])([!-&(-/:-@\[-`{-~]+)(?=[ \t-\r]|\Z)")
+_MARK = rb"[!-&(-/:-@\[-`{-~]"
+#: Marks behind a letter or digit and before white space; apostrophes stay, as the splitter has contractions. It begins
+#: with the mark itself, which the matcher finds much faster than what stands before.
+_TRAILING = re.compile(rb"(" + _MARK + rb"(?<=[A-Za-z0-9]" + _MARK + rb")" + _MARK + rb"*)(?=[ \t-\r]|\Z)")
 
 
 class Words:
@@ -171,21 +173,24 @@ class Words:
         if any(x in lower for x in self.added):
             own = self._ids([text.decode()])[0]
             return struct.pack(f"<{len(own)}I", *own)
-        runs, known = _TRAILING.sub(rb" \1", lower).split(), self.known
-        new = list(set(runs).difference(known))
-        if new:
-            if len(known) + len(new) > self.memory:
-                self.older, self.known = known, {}
-                known, new = self.known, list(set(runs))
-            older = self.older
-            again = [x for x in new if x in older]
-            for x in again:
+        runs = _TRAILING.sub(rb" \1", lower).split()
+        found = list(map(self.known.get, runs))
+        if None in found:
+            gaps = [i for i, x in enumerate(found) if x is None]
+            new = {runs[i] for i in gaps}
+            if len(self.known) + len(new) > self.memory:
+                self.older, self.known = self.known, {}
+            known, older = self.known, self.older
+            for x in new & older.keys():
                 known[x] = older[x]
-            if len(again) < len(new):
-                self._learn([x for x in new if x not in older] if again else new)
-        return b"".join(map(known.__getitem__, runs))
+            self._learn([x for x in new if x not in known])
+            for i in gaps:
+                found[i] = known[runs[i]]
+        return b"".join(found)
 
     def _learn(self, new: list[bytes]) -> None:
+        if not new:
+            return
         texts = [x.decode() for x in new]
         plain = [i for i, x in enumerate(texts) if x.isalpha()]
         # Runs of letters are one word each: encoded as one text and cut where words end.
@@ -264,16 +269,18 @@ def _from_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             crc = [zlib.crc32(raw[4 * a : 4 * b]) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
             n = len(crc)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([task.as_py()] * n, pa.int32()), pa.array([part.as_py()] * n, pa.int32()), pa.array(file.doc_ids, pa.int64(), mask=file.doc_ids == NULL_ID), pa.array(starts, pa.int64()), pa.array(file.counts, pa.int64()), pa.array(crc, pa.int64())],
+                [pa.array([task.as_py()] * n, pa.int32()), pa.array([part.as_py()] * n, pa.int32()), pa.array(file.doc_ids, pa.int64(), mask=file.null), pa.array(starts, pa.int64()), pa.array(file.counts, pa.int64()), pa.array(crc, pa.int64())],
                 names=["task", "part", "doc_id", "start", "n_tokens", "ids_crc32"],
             )
 
 
 def read_files(files: DataFrame) -> DataFrame:
     """Per document, from the files' bytes: doc_id, start (ids of all documents before it), n_tokens, ids_crc32."""
-    spark = files.sparkSession
     docs = files.select("task", "part", "body").mapInArrow(_from_files, "task int, part int, doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
-    # One row a file: thousands of rows for a thousand times as many documents.
-    before = Window.orderBy("task", "part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = files.select("task", "part", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("offset"))
+    # What stands before a file within its task, and before its task: the one unpartitioned window sees a row a task.
+    sizes = files.groupBy("task").agg(F.sum("n_ids").alias("n"))
+    tasks = sizes.select("task", F.coalesce(F.sum("n").over(Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
+    before = Window.partitionBy("task").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    within = files.select("task", "part", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("own"))
+    offsets = within.join(tasks, "task").select("task", "part", (F.col("own") + F.col("base")).alias("offset"))
     return docs.join(offsets, ["task", "part"]).select("doc_id", (F.col("start") + F.col("offset")).alias("start"), "n_tokens", "ids_crc32")
