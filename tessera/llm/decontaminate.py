@@ -24,7 +24,7 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -121,6 +121,7 @@ def search_shard(texts: list[bytes], phrases: Phrases) -> tuple[list[int], list[
 _FOUND = T.StructType(
     [
         T.StructField("doc_id", T.LongType()),
+        T.StructField("th", T.LongType()),
         T.StructField("n_words", T.LongType()),
         T.StructField("spans", T.ArrayType(T.StructType([T.StructField("first", T.LongType()), T.StructField("past", T.LongType())]))),
         T.StructField("items", T.ArrayType(T.StringType())),
@@ -135,8 +136,8 @@ def _search(shared, id_col: str, text_col: str):
             counts, spans, items = search_shard(column_bytes(table, text_col), shared.value)
             rows = [[{"first": a, "past": b} for a, b in x] for x in spans]
             yield pa.RecordBatch.from_arrays(
-                [table.column(id_col).combine_chunks(), pa.array(counts, pa.int64()), pa.array(rows, _SPANS), pa.array(items, pa.list_(pa.string()))],
-                names=["doc_id", "n_words", "spans", "items"],
+                [table.column(id_col).combine_chunks(), table.column("th").combine_chunks(), pa.array(counts, pa.int64()), pa.array(rows, _SPANS), pa.array(items, pa.list_(pa.string()))],
+                names=["doc_id", "th", "n_words", "spans", "items"],
             )
 
     return run
@@ -148,41 +149,38 @@ def item_blocks(benchmark: DataFrame, item_col: str, text_col: str, most: int) -
     blocks = max(1, -(-int(size) // most))
     for i in range(blocks):
         part = benchmark if blocks == 1 else benchmark.where(F.pmod(F.xxhash64(item_col), F.lit(blocks)) == i)
-        yield [(r[0], (r[1] or "").encode()) for r in part.select(item_col, text_col).collect()]
+        yield [(r[0], (r[1] or "").encode()) for r in part.where(F.col(item_col).isNotNull()).select(item_col, text_col).collect()]
 
 
-def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    out: list[tuple[int, int]] = []
-    for a, b in sorted(spans):
-        if out and a <= out[-1][1]:
-            out[-1] = out[-1][0], max(b, out[-1][1])
-        else:
-            out.append((a, b))
-    return out
+def _merged(spans) -> Column:
+    """Spans that overlap or touch as one."""
+
+    def add(done: Column, x: Column) -> Column:
+        last = F.element_at(done, -1)
+        longer = F.struct(last["first"].alias("first"), F.greatest(last["past"], x["past"]).alias("past"))
+        joins = (F.size(done) > 0) & (F.try_element_at(done, F.lit(-1))["past"] >= x["first"])
+        return F.when(joins, F.concat(F.slice(done, 1, F.size(done) - 1), F.array(longer))).otherwise(F.concat(done, F.array(x)))
+
+    return F.aggregate(F.array_sort(spans), F.array().cast(_FOUND["spans"].dataType), add)
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Per row of docs: doc_id, n_words, spans (word positions, merged), items (ids as strings, sorted)."""
     spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).cast("bigint").alias(id_col), text_col)
+    rows = docs.select(F.col(id_col).cast("bigint").alias(id_col), text_col, F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("th"))
     parts = []
     for block in item_blocks(benchmark, item_col, item_text_col, block_bytes):
         shared = spark.sparkContext.broadcast(Phrases(block, window))
         parts.append(rows.mapInArrow(_search(shared, id_col, text_col), _FOUND))
     if len(parts) == 1:
-        return parts[0]
-    # A row has the same place in every block's table: rows that repeat an id stay apart by their order.
+        return parts[0].drop("th")
+    # Rows that repeat an id are told apart by their texts; those that repeat both have the same matches, whichever is taken.
     whole = parts[0].withColumn("block", F.lit(0))
     for i, part in enumerate(parts[1:], 1):
         whole = whole.unionByName(part.withColumn("block", F.lit(i)))
-    nth = "row_number() OVER (PARTITION BY doc_id, block ORDER BY n_words)"
-    grouped = whole.withColumn("nth", F.expr(nth)).groupBy("doc_id", "nth").agg(F.max("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-
-    @F.udf(_FOUND["spans"].dataType)
-    def merge(spans):
-        return _merged([(s["first"], s["past"]) for s in spans])
-
-    return grouped.select("doc_id", "n_words", merge("spans").alias("spans"), "items")
+    nth = "row_number() OVER (PARTITION BY doc_id, th, block ORDER BY n_words)"
+    grouped = whole.withColumn("nth", F.expr(nth)).groupBy("doc_id", "th", "nth").agg(F.max("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    return grouped.select("doc_id", "n_words", _merged("spans").alias("spans"), "items")
 
 
 def digests(found: DataFrame) -> DataFrame:

@@ -3,7 +3,7 @@
 Byte trigrams of a bounded sample of labelled documents give each language a smoothed
 distribution. A document is cut into segments of SEGMENT bytes; expectation-maximisation over
 the segments' trigram likelihoods estimates the proportions of all languages, then of the sets
-of the 1, 2, ... most likely ones, and the set of the best penalised likelihood is kept. Its
+of the 1, 2, ... most likely ones up to all, and the set of the best penalised likelihood is kept. Its
 largest language is the prediction; the score is that language's share of the segments, with
 one segment's weight of prior spread over all languages.
 
@@ -34,10 +34,7 @@ ROUNDS = 12
 TEMPER = 0.5
 #: Cost of a further language in the set, times log of the number of segments.
 PENALTY = 3.0
-MOST_LANGUAGES = 4
 UNKNOWN = "und"
-#: Score below which the pipeline has no language for a document.
-LEAST_SCORE = 0.2
 
 _FOLD = np.array([b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b > 127 else 32 for b in range(256)], np.uint8)
 _ASCII_LETTER = re.compile(rb"[A-Za-z]")
@@ -109,7 +106,7 @@ class Model:
                 rows = np.concatenate([np.arange(starts[i], starts[i] + sizes[i]) for i in mixed])
                 own, own_sizes = likely[rows], sizes[mixed]
                 own_starts = np.cumsum(own_sizes) - own_sizes
-                for k in range(2, min(m, MOST_LANGUAGES) + 1):
+                for k in range(2, m + 1):
                     allowed = np.zeros((len(mixed), m), bool)
                     np.put_along_axis(allowed, order[mixed, :k], True, axis=1)
                     share, seen = self.mixture(own, own_starts, own_sizes, allowed)
@@ -191,13 +188,16 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.pmod(F.crc32(F.col(id_col).cast("string")), F.lit(3)) == 1, F.lit(False))
 
 
-def drop_unknown(docs: DataFrame, model: Model, text_col: str = "text", least: float = LEAST_SCORE) -> DataFrame:
-    """docs without those that have no language or too small a share of the one they have, all columns kept."""
+def drop_unknown(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """docs without those that are `und`, all columns kept.
+
+    Those are the null, empty and letterless texts: a text with letters always has a most likely language among those learned.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in slices(batches, text_col, 2 << 20):
-            lang, score, _ = _judge(shared.value, column_bytes(table, text_col))
-            yield from table.filter(pa.array([x != UNKNOWN and s >= least for x, s in zip(lang, score, strict=True)])).combine_chunks().to_batches()
+            lang, _, _ = _judge(shared.value, column_bytes(table, text_col))
+            yield from table.filter(pa.array([x != UNKNOWN for x in lang])).combine_chunks().to_batches()
 
     return docs.mapInArrow(run, docs.schema)

@@ -8,7 +8,8 @@ is the stated number of characters. The machine is fitted on the driver on a bou
 Defined cases: null and empty texts get a score from their statistics alone; labels that are
 null, or whose id is null or has no document, are no training rows; with no labels the score
 is 0.5, with one class it is that class's smoothed rate; a null id is not held out; rows that
-repeat an id each get a row; other columns are ignored.
+repeat an id each get a row; of several labels of one id the largest counts; the rows to fit on are put in the order of their
+ids and texts first, so the machine does not depend on partitions; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -173,8 +174,8 @@ def _feature_rows(text_col: str, stated_col: str):
             ids, x, sizes = features.rows(column_bytes(table, text_col), table.column(stated_col).to_pylist())
             ends = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
-                [table.column("label_x").combine_chunks(), pa.ListArray.from_arrays(ends, pa.array(ids.astype(np.int32))), pa.ListArray.from_arrays(ends, pa.array(x.astype(np.float32)))],
-                names=["label", "ids", "x"],
+                [table.column("order_x").combine_chunks(), table.column("label_x").combine_chunks(), pa.ListArray.from_arrays(ends, pa.array(ids.astype(np.int32))), pa.ListArray.from_arrays(ends, pa.array(x.astype(np.float32)))],
+                names=["place", "label", "ids", "x"],
             )
 
     return run
@@ -183,7 +184,7 @@ def _feature_rows(text_col: str, stated_col: str):
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", stated_col: str = "n_chars", label_col: str = "quality", train_rows: Column | None = None, most: int = TRAIN_DOCS) -> Machine:
     """The machine of about `most` labelled rows among those that `train_rows` allows, chosen by the hash of their ids."""
     rows = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
-    rows = (rows if train_rows is None else rows.where(train_rows)).select(F.col(id_col).alias("id_x"), F.col(label_col).cast("int").alias("label_x")).dropDuplicates(["id_x"])
+    rows = (rows if train_rows is None else rows.where(train_rows)).groupBy(F.col(id_col).alias("id_x")).agg(F.max(F.col(label_col).cast("int")).alias("label_x"))
     n = rows.count()
     if n == 0:
         return Machine(0.0)
@@ -192,10 +193,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     chosen = F.broadcast(rows.where(F.pmod(F.xxhash64("id_x"), F.lit(scale)) < min(scale, -(-most * scale // n))))
     # Only what is needed, by names of its own: docs may have columns named like those of chosen.
     needed = docs.select(F.col(id_col).alias("own_x"), F.col(text_col).alias("text_x"), F.col(stated_col).cast("bigint").alias("stated_x"))
-    sample = needed.join(chosen, F.col("own_x") == F.col("id_x")).select("label_x", "text_x", "stated_x")
-    got = sample.mapInArrow(_feature_rows("text_x", "stated_x"), "label int, ids array<int>, x array<float>").toArrow()
+    sample = needed.join(chosen, F.col("own_x") == F.col("id_x")).select(F.struct("id_x", F.xxhash64("text_x"), "stated_x").cast("string").alias("order_x"), "label_x", "text_x", "stated_x")
+    got = sample.mapInArrow(_feature_rows("text_x", "stated_x"), "place string, label int, ids array<int>, x array<float>").toArrow().sort_by("place")
     if got.num_rows == 0:
         return Machine(0.0)
+    got = got.combine_chunks()
     ids, x = got.column("ids").combine_chunks(), got.column("x").combine_chunks()
     sizes = np.diff(ids.offsets.to_numpy()).astype(np.int64)
     return train(ids.flatten().to_numpy().astype(np.int64), x.flatten().to_numpy().astype(np.float64), sizes, got.column("label").to_numpy().astype(np.float64))

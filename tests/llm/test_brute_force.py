@@ -340,3 +340,104 @@ def test_compaction(spark, sf_dir):
 def test_shard_query_places_every_document(spark, sf_dir, texts):
     got = {r.doc_id: r.text_sha256 for r in catalog.op6_sharding(spark, sf_dir).collect()}
     assert got == {i: hashlib.sha256(t.encode()).hexdigest() for i, t in texts.items()}
+
+
+def test_quality_scores_equal_pairwise_sums(spark, sf_dir):
+    """Every row of op4: the same machine by sums over all pairs of features, features in plain Python."""
+    import math
+    from collections import Counter
+
+    docs, labels = spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    machine = quality.fit(docs, labels, train_rows=~quality.held_out())
+    again = quality.fit(docs.repartition(7), labels.repartition(3), train_rows=~quality.held_out())
+    assert machine.bias == again.bias and (machine.linear == again.linear).all() and (machine.factors == again.factors).all()
+    got = {r.doc_id: r for r in catalog.op4_quality(spark, sf_dir).collect()}
+    assert len(got) == docs.count()
+    for r in docs.collect():
+        tokens = quality.words((r.text or "").encode())
+        counts = Counter(tokens)
+        stats = quality.statistics((r.text or "").encode(), tokens, counts, r.n_chars)
+        norm = max(1e-9, math.sqrt(sum(math.log1p(c) ** 2 for c in counts.values())))
+        x = [(zlib.crc32(w) % quality.WORD_BUCKETS, math.log1p(c) / norm) for w, c in counts.items()]
+        for k, v in enumerate(stats.tolist()):
+            place = quality.WORD_BUCKETS + k * (quality.BINS + 1)
+            x += [(place, v), (place + 1 + min(quality.BINS - 1, int(math.sqrt(min(1, max(0, v))) * quality.BINS)), 0.5)]
+        x = x if len(x) < 400 else None
+        if x is None:
+            continue
+        margin = machine.bias + sum(machine.linear[i] * v for i, v in x)
+        factors = [machine.factors[i] * v for i, v in x]
+        margin += sum(float(factors[a] @ factors[b]) for a in range(len(x)) for b in range(a))
+        want = 1 / (1 + math.exp(-max(-30, min(30, margin))))
+        assert got[r.doc_id].score == pytest.approx(want, abs=1e-6)
+        assert got[r.doc_id].predicted == (got[r.doc_id].score >= 0.3)
+        assert got[r.doc_id].held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0)
+
+
+def test_conflicting_labels_count_as_the_largest(spark):
+    docs = spark.createDataFrame([(i, "good words" if i % 2 else "|| !! 99", 9) for i in range(40)], "doc_id bigint, text string, n_chars bigint")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)] + [(i, 0) for i in range(40)], "doc_id bigint, quality int")
+    scores = {r.doc_id: r.score for r in quality.score(docs, quality.fit(docs, labels)).collect()}
+    assert min(s for i, s in scores.items() if i % 2) > max(s for i, s in scores.items() if not i % 2)
+
+
+def test_language_equals_plain_expectation_maximisation(spark, sf_dir):
+    """Every row of op9: segments, proportions and the choice of the set in plain Python, every size of set tried."""
+    import math
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    model = language.fit(docs, train=~language.held_out())
+    m = len(model.languages)
+    got = {r.doc_id: r for r in catalog.op9_language(spark, sf_dir).collect()}
+    table = model.table.astype(np.float64)
+
+    def proportions(parts, allowed):
+        share = [1 / len(allowed) if k in allowed else 0.0 for k in range(m)]
+        tops = [max(p) for p in parts]
+        odds = [[math.exp(v - t) for v in p] for p, t in zip(parts, tops)]
+        for _ in range(language.ROUNDS):
+            new = [0.0] * m
+            for o in odds:
+                total = max(sum(a * b for a, b in zip(o, share)), 1e-300)
+                new = [n + a * b / total for n, a, b in zip(new, o, share)]
+            new = [max(n / len(parts), 1e-9) if k in allowed else 0.0 for k, n in enumerate(new)]
+            share = [n / sum(new) for n in new]
+        return share, sum(math.log(max(sum(a * b for a, b in zip(o, share)), 1e-300)) + t for o, t in zip(odds, tops))
+
+    checked = 0
+    for r in docs.collect():
+        text, own = (r.text or "").encode(), got[r.doc_id]
+        assert own.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1)
+        if not any(c.isalpha() for c in r.text or ""):
+            assert (own.lang_pred, own.score, own.languages) == ("und", 0, [])
+            continue
+        if len(text) > 3000:
+            continue
+        checked += 1
+        grams = language.trigrams(np.frombuffer(text, np.uint8))
+        parts = [table[grams[a : a + language.SEGMENT]].sum(axis=0).tolist() for a in range(0, len(text), language.SEGMENT)]
+        alone = [sum(p[k] for p in parts) for k in range(m)]
+        best, share = max(alone), [float(k == alone.index(max(alone))) for k in range(m)]
+        full, _ = proportions(parts, range(m))
+        if max(full) < 1 - 1e-3:
+            order = sorted(range(m), key=lambda k: -full[k])
+            for k in range(2, m + 1):
+                found, seen = proportions(parts, order[:k])
+                gain = seen - (k - 1) * language.PENALTY * math.log(len(parts) + 1)
+                if gain > best:
+                    best, share = gain, found
+        top = share.index(max(share))
+        assert own.lang_pred == model.languages[top]
+        assert own.score == pytest.approx((share[top] * len(parts) + 1 / m) / (len(parts) + 1), abs=1e-4)
+        assert sorted(own.languages) == sorted(model.languages[k] for k in range(m) if share[k] > 0)
+    assert checked > 100
+
+
+def test_six_languages_in_one_text():
+    rng = random.Random(4)
+    names = [f"l{k}" for k in range(6)]
+    letters = ["abcd", "efgh", "ijkl", "mnop", "qrst", "uvwx"]
+    text = {n: " ".join("".join(rng.choice(x) for _ in range(5)) for _ in range(400)).encode() for n, x in zip(names, letters)}
+    counts = np.stack([np.bincount(language.trigrams(np.frombuffer(text[n], np.uint8)), minlength=language.BUCKETS) for n in names])
+    share, _ = language.Model(names, counts.astype(float)).infer([b" ".join(text[n][:960] for n in names)])
+    assert (share[0] > 0.1).all()
