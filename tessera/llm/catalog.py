@@ -68,7 +68,7 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     store.append(_documents(spark, sf_dir))
     store.compact()
     store.vacuum()
-    stored = store.read()
+    stored = store.read(file_col="shard_file")
     if stored is None:
         stored = _documents(spark, sf_dir).limit(0).withColumn("shard_file", F.lit(""))
     placed = stored.join(store.shards(), "shard_file")
