@@ -7,6 +7,8 @@ need to meet: the string at offset j before an anchor a is T[a-j : a-j+100].
 
 from __future__ import annotations
 
+from hashlib import blake2b
+
 import numpy as np
 
 LENGTH = 100
@@ -50,13 +52,13 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 def anchors(raw: np.ndarray, doc_starts: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Of texts laid end to end (doc_starts, with the end last): gram hash, context hash, anchor, first and last string start.
+    """Of texts laid end to end (doc_starts, with the end last): gram hash, both halves of the context's digest, anchor, first and last string start.
 
-    The context is what the anchor's strings cover; its hash also holds where in it the anchor is.
+    The context is what the anchor's strings cover; its digest (BLAKE2b, 128 bits) also holds where in it the anchor is.
     """
     n = len(raw)
     starts = n - LENGTH + 1
-    none = tuple(np.zeros(0, t) for t in (np.uint64, np.uint64, np.int64, np.int64, np.int64))
+    none = tuple(np.zeros(0, t) for t in (np.uint64, np.uint64, np.uint64, np.int64, np.int64, np.int64))
     if starts <= 0:
         return none
     hashes = prefix_hashes(raw)
@@ -80,9 +82,11 @@ def anchors(raw: np.ndarray, doc_starts: np.ndarray) -> tuple[np.ndarray, ...]:
     new = np.flatnonzero(np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (kept[1:] != kept[:-1] + 1)]))
     a = anchor[new]
     first, last = kept[new], kept[np.concatenate([new[1:] - 1, [len(kept) - 1]])]
-    context = (hashes[last + LENGTH] - hashes[first]) * _BACK[first]
-    context = mixed(context + ((a - first) << 8 | (last - first)).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-    return grams[a], context, a, first, last
+    whole = raw.tobytes()
+    own = zip(first.tolist(), (last + LENGTH).tolist(), (a - first).tolist(), strict=True)
+    digests = b"".join([blake2b(whole[i:j], digest_size=16, salt=b"%d" % back).digest() for i, j, back in own])
+    context = np.frombuffer(digests, "<u8").reshape(-1, 2)
+    return grams[a], context[:, 0].copy(), context[:, 1].copy(), a, first, last
 
 
 def common_lengths(hashes: np.ndarray, raw: np.ndarray, x: np.ndarray, y: np.ndarray, most: np.ndarray) -> np.ndarray:

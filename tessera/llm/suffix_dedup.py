@@ -1,8 +1,10 @@
 """Removal of every byte that a 100-byte string repeated from earlier covers.
 
-1. Each map task finds the anchors of its texts (see suffix_core) and keeps, of anchors whose
-   gram and context hashes agree, the earliest; the others' strings are repeats at once.
-2. Anchors meet by gram hash. Of equal contexts (128 bits of two independent hashes) the
+1. Each map task finds the anchors of its texts (see suffix_core) and keeps, of anchors whose contexts (the bytes
+   that the anchor's strings cover) are equal, the earliest; the others' strings are repeats at once. Contexts are equal if their
+   BLAKE2b digests of 128 bits are: exact copies are told by this cryptographic digest of their bytes, not by a
+   polynomial hash, and never reach the sort.
+2. Anchors meet by gram hash. Of equal contexts the
    earliest stays; a gram with several contexts sends those on as representatives.
 3. Representatives fetch their context bytes from the texts and meet by gram again: their
    suffixes are sorted with prefix-hash comparisons, neighbours' extensions verified byte by
@@ -33,7 +35,7 @@ from .common import column_bytes, slices, written
 from .packed import BUCKET_BYTES, SCHEMA, batches_of, dump, joined, load, meet, split_by, unzip
 
 ANCHOR, FLAG, REP, TEXT, CONTEXT = range(5)
-_ANCHOR = ("<u8", "<u8", "<i8", "<u4", "u1", "u1")
+_ANCHOR = ("<u8", "<u8", "<u8", "<i8", "<u4", "u1", "u1")
 _FLAG = ("<i8", "<u4", "<u4")
 _REP = ("<u8", "<i8", "<u4", "u1", "u1")
 _CONTEXT = ("<u8", "<i8", "<u4", "u1", "u1", "u1")
@@ -67,11 +69,11 @@ def _flags(doc: np.ndarray, start: np.ndarray, end: np.ndarray, buckets: int) ->
         yield FLAG, b, dump(part)
 
 
-def _earliest(gram, context, doc, first) -> tuple[np.ndarray, np.ndarray]:
+def _earliest(gram, context, more, doc, first) -> tuple[np.ndarray, np.ndarray]:
     """(order by gram, context, document, start; whether each there is the first of its gram and context)."""
-    order = np.lexsort((first, doc, context, gram))
-    g, c = gram[order], context[order]
-    return order, np.concatenate([[True], (g[1:] != g[:-1]) | (c[1:] != c[:-1])]) if len(order) else np.zeros(0, bool)
+    order = np.lexsort((first, doc, more, context, gram))
+    g, c, d = gram[order], context[order], more[order]
+    return order, np.concatenate([[True], (g[1:] != g[:-1]) | (c[1:] != c[:-1]) | (d[1:] != d[:-1])]) if len(order) else np.zeros(0, bool)
 
 
 def _find(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[tuple[int, int, bytes]]:
@@ -79,12 +81,12 @@ def _find(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[tuple[int
     size = 0
 
     def flush():
-        gram, context, doc, first, back, span = (np.concatenate(x) for x in zip(*held, strict=True))
-        order, lead = _earliest(gram, context, doc, first)
+        gram, context, more, doc, first, back, span = (np.concatenate(x) for x in zip(*held, strict=True))
+        order, lead = _earliest(gram, context, more, doc, first)
         late = order[~lead]
         yield from _flags(doc[late], first[late], first[late].astype(np.int64) + span[late] + core.LENGTH, buckets)
         kept = np.sort(order[lead])
-        own = [x[kept] for x in (gram, context, doc, first, back, span)]
+        own = [x[kept] for x in (gram, context, more, doc, first, back, span)]
         for b, part in split_by(_bucket(own[0], buckets), own):
             yield ANCHOR, b, dump(part)
 
@@ -98,11 +100,11 @@ def _find(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[tuple[int
                 texts.append(text[at : at + core.CHUNK + core.LENGTH - 1])
         for lot in _lots(texts, core.CHUNK):
             starts = np.concatenate([[0], np.cumsum([len(x) for x in texts[lot]])])
-            gram, context, anchor, first, last = core.anchors(np.frombuffer(b"".join(texts[lot]), np.uint8), starts)
+            gram, context, more, anchor, first, last = core.anchors(np.frombuffer(b"".join(texts[lot]), np.uint8), starts)
             which = np.searchsorted(starts, first, "right") - 1
             docs = np.array(ids[lot], np.int64)[which]
             own = first - starts[which] + np.array(offsets[lot], np.int64)[which]
-            held.append([gram, context, docs, own.astype(np.uint32), (anchor - first).astype(np.uint8), (last - first).astype(np.uint8)])
+            held.append([gram, context, more, docs, own.astype(np.uint32), (anchor - first).astype(np.uint8), (last - first).astype(np.uint8)])
             size += int(starts[-1])
             if size >= COMBINE_BYTES:
                 yield from flush()
@@ -129,8 +131,8 @@ def _resolve_anchors(buckets: int):
                 yield FLAG, bucket, payload
             if ANCHOR not in held:
                 return
-            gram, context, doc, first, back, span = joined(held.pop(ANCHOR), _ANCHOR)
-            order, lead = _earliest(gram, context, doc, first)
+            gram, context, more, doc, first, back, span = joined(held.pop(ANCHOR), _ANCHOR)
+            order, lead = _earliest(gram, context, more, doc, first)
             late = order[~lead]
             yield from _flags(doc[late], first[late], first[late].astype(np.int64) + span[late] + core.LENGTH, buckets)
             leads = order[lead]

@@ -441,3 +441,36 @@ def test_six_languages_in_one_text():
     counts = np.stack([np.bincount(language.trigrams(np.frombuffer(text[n], np.uint8)), minlength=language.BUCKETS) for n in names])
     share, _ = language.Model(names, counts.astype(float)).infer([b" ".join(text[n][:960] for n in names)])
     assert (share[0] > 0.1).all()
+
+
+def test_suffix_dedup_survives_hashes_that_all_collide(monkeypatch):
+    """The steps run one after another in this process, with a polynomial hash that says no more than a string's length."""
+    import pyarrow as pa
+
+    from tessera.llm import packed
+
+    rng = random.Random(8)
+    passage = "".join(rng.choice("abc ") for _ in range(260))
+    docs = []
+    for i in range(10):
+        at = rng.randrange(120)
+        docs.append((i, "".join(rng.choice("xyz ") for _ in range(rng.randrange(90))) + passage[at : at + rng.randrange(80, 260)] + rng.choice(["", "tail"])))
+    docs += [(10, docs[3][1]), (11, "q" * 230)]
+    monkeypatch.setattr(suffix_core, "_BYTE", np.ones(256, np.uint64))
+
+    def met(parts, work):
+        held = {}
+        for batch in parts:
+            for kind, bucket, payload in zip(*(c.to_pylist() for c in batch.columns)):
+                held.setdefault(bucket, {}).setdefault(kind, []).append(payload)
+        return [x for bucket, own in sorted(held.items()) for x in work(bucket, own)]
+
+    def only(parts, kind):
+        return [b.filter(pa.array([k == kind for k in b.column("kind").to_pylist()])) for b in parts]
+
+    tables = [pa.RecordBatch.from_arrays([pa.array([i for i, _ in own]), pa.array([t for _, t in own])], names=["key", "text"]) for own in (docs[::2], docs[1::2])]
+    scan = lambda step: [x for t in tables for x in packed.batches_of(step(iter([t]), 8))]
+    found = met(scan(suffix_dedup._find), suffix_dedup._resolve_anchors(8))
+    more = met(met(scan(suffix_dedup._pack_texts) + only(found, suffix_dedup.REP), suffix_dedup._fetch_contexts(8)), suffix_dedup._resolve_contexts(8))
+    cut = met(scan(suffix_dedup._pack_texts) + only(found, suffix_dedup.FLAG) + more, suffix_dedup._cut(False))
+    assert sorted(tuple(r.values()) for b in cut for r in b.to_pylist()) == repeated([(i, t.encode()) for i, t in docs])
