@@ -16,7 +16,8 @@ line differ in 14 bits of 64 or fewer (12 from 32 words on, 10 from 64) and whos
 and of every connected group the first occurrence (smallest doc_id, then line number) stays.
 
 Each line is first judged against one leader: of the smallest lines of its keys the one with most keys
-in common. Only pairs that share a key, are within the radius and are still in different groups are then compared one by one, so a large
+in common; then, for three turns, those that share a key with lines of other groups against a leader drawn anew. Only pairs that share
+a key, are within the radius and are still in different groups are then compared one by one, so a large
 group of variants costs its size and not its square, and no link is lost.
 
 Defined cases: lines without letters and digits are always kept; null and empty texts have one
@@ -49,6 +50,9 @@ ONE_FROM, ONE_TO = 50, 128
 #: the less a changed one turns.
 RADIUS = ((0, 14), (32, 12), (64, 10))
 
+#: Turns in which lines still apart meet a leader drawn anew; they save work and change no result.
+LEADERS = 3
+
 _ONES = {8: 0x0101010101010101, 16: 0x0001000100010001, 32: 0x0000000100000001}
 
 
@@ -220,13 +224,23 @@ def groups(distinct: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
         met = shared.where("nid <> lead").groupBy("nid", "lead").count()
         best = met.groupBy("nid").agg(F.max_by("lead", F.struct("count", -F.col("lead"))).alias("a")).select("a", F.col("nid").alias("b"))
         links = linked(best, "line-links")
-        of = texts.select("nid", "n", "fp", F.length("norm").alias("size")).join(components(links).withColumnRenamed("node", "nid"), "nid", "left")
-        of = written(shared.join(of, "nid").select("key", "nid", F.coalesce("component", "nid").alias("c"), "size", "n", "fp"), "line-apart", codec="none")
-        x, y = (of.select("key", *[F.col(c).alias(f"{c}_{side}") for c in ("nid", "c", "size", "n", "fp")]) for side in "xy")
-        fits = F.abs(F.col("size_x") - F.col("size_y")) <= F.greatest("size_x", "size_y") * F.lit(1 - similarity) + F.lit(1e-9)
-        apart = x.join(y, (x["key"] == y["key"]) & (F.col("nid_x") < F.col("nid_y")) & (F.col("c_x") != F.col("c_y")) & fits & _close("x", "y"))
-        more = linked(apart.select(F.col("nid_x").alias("a"), F.col("nid_y").alias("b")).distinct(), "line-more-links")
-        return written(components(links.unionByName(more)), "line-groups", codec="none", keep=True)
+        sizes = texts.select("nid", "n", "fp", F.length("norm").alias("size"))
+        fits = lambda x, y: (F.abs(F.col(f"size_{x}") - F.col(f"size_{y}")) <= F.greatest(f"size_{x}", f"size_{y}") * F.lit(1 - similarity) + F.lit(1e-9)) & _close(x, y)
+        for turn in range(1, LEADERS + 2):
+            of = sizes.join(components(links).withColumnRenamed("node", "nid"), "nid", "left").withColumn("c", F.coalesce("component", "nid")).drop("component")
+            of = shared.select("key", "nid").join(of, "nid").selectExpr("*", "min(c) OVER (PARTITION BY key) AS low", "max(c) OVER (PARTITION BY key) AS high")
+            # Keys whose lines are all in one group have nothing left to compare.
+            of = written(of.where("low <> high").drop("low", "high"), "line-apart", codec="none")
+            x, y = (of.select("key", *[F.col(c).alias(f"{c}_{side}") for c in ("nid", "c", "size", "n", "fp")]) for side in "xy")
+            if turn <= LEADERS:
+                lead = x.groupBy("key").agg(F.min_by(F.struct(*[c for c in x.columns if c != "key"]), F.xxhash64(F.lit(turn), F.col("nid_x"))).alias("lead")).select("key", "lead.*")
+                met = y.join(lead, "key").where((F.col("c_x") != F.col("c_y")) & fits("x", "y")).groupBy("nid_y", "nid_x").count()
+                pairs = met.groupBy(F.col("nid_y").alias("b")).agg(F.max_by("nid_x", F.struct("count", -F.col("nid_x"))).alias("a"))
+            else:
+                apart = x.join(y, (x["key"] == y["key"]) & (F.col("nid_x") < F.col("nid_y")) & (F.col("c_x") != F.col("c_y")) & fits("x", "y"))
+                pairs = apart.select(F.col("nid_x").alias("a"), F.col("nid_y").alias("b")).distinct()
+            links = links.unionByName(linked(pairs, "line-more-links"))
+        return written(components(links), "line-groups", codec="none", keep=True)
 
 
 def decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:

@@ -1,14 +1,15 @@
 """SimHash near-dedup for texts that differ by more than op8's 2 bits: five-word shingles, Jaccard similarity of 0.8 or more.
 
 At that similarity the fingerprints of two texts differ in about 10 bits of 64, too many for blocks of
-their bits. So a text also has fingerprints of parts: its distinct shingles are dealt by hash to parts of 2.5 to
-6.25 shingles, of which the first 24 have a SimHash each. Texts meet wherever one of these agrees. What two texts at the bound
-don't share leaves each part alone with a probability of a quarter or more, so at least one of the 24 with over 0.998; the more
-alike they are, the surer. Where they meet, the fingerprints of the whole texts are compared bit-sliced (see `simhash`)
-within a radius of 18 bits, over three standard deviations beyond the bound's 10, and those that are close have their shingles compared.
+their bits. So texts meet by the shingles that vote in their fingerprints: two sets of similarity s or more share one of the
+n - ceil(s n) + 1 first shingles of each, in any order of all shingles (pigeonhole). The order puts shingles that are frequent
+in a bounded sample last, which changes the work and not the result: a passage that very many texts have
+is hardly ever among the first. Where texts meet, their fingerprints are compared bit-sliced (see `simhash`)
+within a radius of 18 bits, three standard deviations beyond the bound's 10, and those that are close have their shingles compared.
 
 Each text is first compared with one leader: of the smallest texts of its parts the one it shares
-most with. Only pairs that are still in different groups are then compared bit-sliced, so a large
+most with; then, for some turns, texts that meet others of another group with a few leaders drawn anew. Only pairs that are still in
+different groups are then compared bit-sliced, so a large
 group of near copies costs its size and not its square, and no link is lost.
 
 Defined cases: null and empty texts, and texts of white space, have one empty shingle; fewer than
@@ -19,6 +20,7 @@ other columns are kept, whatever their names.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,60 +35,106 @@ from .simhash import by_bucket, close_pairs, hashes, majority, shingles, text_ha
 WORDS = 5
 SIMILARITY = 0.8
 RADIUS = 18
-PARTS = 24
-#: Distinct shingles up to which there are PARTS parts; beyond, twice as many parts for twice as many shingles.
-SMALL = 6 * PARTS + PARTS // 4
+#: Texts whose shingles are counted for the order, about; and the count from which one is frequent.
+SAMPLE_DOCS = 10_000
+FREQUENT = 5
+
+#: Turns in which texts still apart meet leaders drawn anew, and how many each; they save work and change no result.
+LEADERS = 4
+NEAREST = 4
+#: Of a text's first shingles so many go with it to where pairs are found.
+HEAD = 32
 
 
 def distinct_shingles(text: bytes, words: int = WORDS) -> set[bytes]:
     return set(shingles(text, words)) or {b""}
 
 
-def part_keys(own: np.ndarray) -> np.ndarray:
-    """A key for each of the first PARTS parts that has shingles, of every scheme that holds for so many."""
-    found = []
-    scheme = 0
-    while len(own) >= 0.4 * (SMALL << scheme) or scheme == 0:
-        if len(own) < SMALL << scheme:
-            part = own % np.uint64(PARTS << scheme)
-            some = np.flatnonzero(part < PARTS)
-            order = some[np.argsort(part[some], kind="stable")]
-            if len(order):
-                starts = np.flatnonzero(np.concatenate([[True], part[order][1:] != part[order][:-1]]))
-                bits = np.unpackbits(own[order].view(np.uint8), bitorder="little").reshape(len(order), 64)
-                ones = np.add.reduceat(bits.astype(np.int32), starts, axis=0)
-                sizes = np.diff(np.append(starts, len(order)))
-                prints = np.packbits(2 * ones > sizes[:, None], axis=1, bitorder="little").view("<u8")[:, 0]
-                name = part[order][starts] + np.uint64(scheme << 8) + np.uint64(1)
-                found.append(prints ^ name * np.uint64(0x9E3779B97F4A7C15))
-        scheme += 1
-    return np.concatenate(found) if found else np.zeros(0, np.uint64)
-
-
-def _printed(id_col: str, text_col: str, words: int):
+def _sampled(text_col: str, words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in slices(batches, text_col):
-            prints, keys = [], []
+            for text in column_bytes(table, text_col):
+                yield pa.RecordBatch.from_arrays([pa.array(hashes(list(distinct_shingles(text, words))).view(np.int64))], names=["h"])
+
+    return run
+
+
+def frequent(docs: DataFrame, text_col: str, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes in ascending order, and counts, of the shingles that are frequent in a sample of about SAMPLE_DOCS texts."""
+    scale = 1 << 30
+    most = min(scale, scale * SAMPLE_DOCS // max(1, docs.count()))
+    sample = docs.where(F.pmod(text_hash(text_col), F.lit(scale)) < most).select(text_col)
+    found = sample.mapInArrow(_sampled(text_col, words), "h bigint").groupBy("h").count().where(F.col("count") >= FREQUENT).toPandas().sort_values("h")
+    return found["h"].to_numpy(np.int64), found["count"].to_numpy(np.int64)
+
+
+def first_shingles(own: np.ndarray, known: np.ndarray, counts: np.ndarray, similarity: float) -> np.ndarray:
+    """Codes of those distinct hashes of which a text at least so similar has one, too. A code is the count in 15 bits and 48 bits of the hash, and the order is that of the codes."""
+    h = own.view(np.int64)
+    many = np.zeros(len(h), np.int64)
+    if len(known):
+        at = np.minimum(np.searchsorted(known, h), len(known) - 1)
+        many = np.where(known[at] == h, np.minimum(counts[at], (1 << 15) - 1), 0)
+    codes = np.sort(many << 48 | (own >> np.uint64(16)).view(np.int64))
+    return codes[: len(h) - math.ceil(similarity * len(h) - 1e-9) + 1]
+
+
+def _printed(shared, id_col: str, text_col: str, words: int, similarity: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in slices(batches, text_col):
+            prints, sizes, keys = [], [], []
             for text in column_bytes(table, text_col):
                 own = hashes(list(distinct_shingles(text, words)))
+                sizes.append(len(own))
                 prints.append(majority(own))
-                keys.append(part_keys(own))
+                keys.append(first_shingles(own, *shared.value, similarity))
             ends = np.cumsum([0, *map(len, keys)]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(keys).view(np.int64)))
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(keys)))
             fp = pa.array(np.array(prints, np.uint64).view(np.int64))
-            yield pa.RecordBatch.from_arrays([table.column(id_col).combine_chunks(), table.column("th").combine_chunks(), fp, lists], names=["doc_id", "th", "fp", "keys"])
+            yield pa.RecordBatch.from_arrays([table.column(id_col).combine_chunks(), table.column("th").combine_chunks(), fp, pa.array(sizes, pa.int64()), lists], names=["doc_id", "th", "fp", "size", "keys"])
 
     return run
 
 
-def _apart(radius: int):
-    """Pairs of a bucket, sorted by key and group, that are in different groups and within the radius."""
+def ranked(heads: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For `possible`: codes as their places in the order of all codes here, which take half the room, and each row's last."""
+    filled = heads != np.iinfo(np.int64).max
+    places = np.unique(heads, return_inverse=True)[1].reshape(heads.shape).astype(np.int32)
+    return places, np.where(filled, places, -1).max(axis=1)
+
+
+def possible(heads: np.ndarray, last: np.ndarray, sizes: np.ndarray, i: np.ndarray, j: np.ndarray, similarity: float) -> np.ndarray:
+    """Whether texts i and j can be so similar by the shingles that come first in each.
+
+    heads, last: `ranked` first codes in order, filled up with the largest integer. A code of one text that is below the last
+    known code of the other and not among the other's is not in the other at all.
+    """
+    out = np.zeros(len(i), bool)
+    for a in range(0, len(i), 4096):
+        x, y = heads[i[a : a + 4096]], heads[j[a : a + 4096]]
+        nx, ny = sizes[i[a : a + 4096]], sizes[j[a : a + 4096]]
+        same = x[:, :, None] == y[:, None, :]
+        lack_x = ((x < last[j[a : a + 4096], None]) & ~same.any(axis=2)).sum(axis=1)
+        lack_y = ((y < last[i[a : a + 4096], None]) & ~same.any(axis=1)).sum(axis=1)
+        shared = np.minimum(nx - lack_x, ny - lack_y)
+        out[a : a + 4096] = shared >= (nx + ny) * (similarity / (1 + similarity)) - 1e-9
+    return out
+
+
+def _apart(radius: int, similarity: float):
+    """Pairs of a bucket, sorted by key and group, that are in different groups, within the radius and possible."""
 
-    def work(key: np.ndarray, group: np.ndarray, fp: np.ndarray, nid: np.ndarray) -> pa.RecordBatch:
+    def work(key: np.ndarray, group: np.ndarray, fp: np.ndarray, nid: np.ndarray, size: np.ndarray, head: np.ndarray) -> pa.RecordBatch:
+        heads = np.full((len(key), HEAD), np.iinfo(np.int64).max)
+        for row, own in zip(heads, head, strict=True):
+            row[: len(own)] = own
+        heads, last = ranked(heads)
         a, b = [], []
         for i, j in close_pairs(key, fp.view(np.uint64), list(range(64)), radius):
             differ = group[i] != group[j]
-            x, y = nid[i[differ]], nid[j[differ]]
+            i, j = i[differ], j[differ]
+            fits = possible(heads, last, size, i, j, similarity)
+            x, y = nid[i[fits]], nid[j[fits]]
             a.append(np.minimum(x, y))
             b.append(np.maximum(x, y))
         return pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, np.int64), *x])) for x in (a, b)], names=["a", "b"])
@@ -115,11 +163,12 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", word
     """Per row of docs that some link joins: doc_id, th (hash of the text), component_id (smallest id of its group)."""
     with scratch():
         rows = docs.select(F.col(id_col).cast("bigint").alias(id_col), text_col, text_hash(text_col).alias("th"))
-        prints = rows.mapInArrow(_printed(id_col, text_col, words), "doc_id bigint, th bigint, fp bigint, keys array<bigint>")
+        order = docs.sparkSession.sparkContext.broadcast(frequent(docs, text_col, words))
+        prints = rows.mapInArrow(_printed(order, id_col, text_col, words, similarity), "doc_id bigint, th bigint, fp bigint, size bigint, keys array<bigint>")
         prints = written(prints.withColumn("nid", F.monotonically_increasing_id()), "near-prints", codec="none")
-        keyed = prints.select(F.explode("keys").alias("key"), "nid", "fp")
-        met = keyed.selectExpr("key", "nid", "fp", "count(*) OVER (PARTITION BY key) AS n", "min(nid) OVER (PARTITION BY key) AS lead").where("n > 1")
-        shared = written(met.select("key", "nid", "fp", "lead"), "near-keys", codec="none")
+        keyed = prints.select(F.explode("keys").alias("key"), "nid")
+        met = keyed.selectExpr("key", "nid", "count(*) OVER (PARTITION BY key) AS n", "min(nid) OVER (PARTITION BY key) AS lead").where("n > 1")
+        shared = written(met.select("key", "nid", "lead"), "near-keys", codec="none")
         members = prints.select("nid", "doc_id", "th", "fp").join(shared.select("nid").distinct(), "nid", "left_semi")
         plain = docs.select(F.col(id_col).cast("bigint").alias("id_x"), text_hash(text_col).alias("th_x"), F.coalesce(F.col(text_col), F.lit("")).alias("tx"))
         named = members.join(plain, members["doc_id"].eqNullSafe(plain["id_x"]) & (members["th"] == plain["th_x"]))
@@ -134,11 +183,24 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", word
         tried = shared.where("nid <> lead").groupBy("nid", "lead").count()
         best = tried.groupBy("nid").agg(F.max_by("lead", F.struct("count", -F.col("lead"))).alias("a")).select("a", F.col("nid").alias("b"))
         links = similar(best, "near-links")
-        of = shared.join(components(links).withColumnRenamed("node", "nid"), "nid", "left").select("key", F.coalesce("component", "nid").alias("g"), "fp", "nid")
-        # Buckets that lie in one group already have nothing to compare.
-        mixed = of.selectExpr("*", "min(g) OVER (PARTITION BY key) AS least", "max(g) OVER (PARTITION BY key) AS most").where("least <> most").select("key", "g", "fp", "nid")
-        apart = mixed.sortWithinPartitions("key", "g").mapInArrow(by_bucket(4, 1, _apart(radius)), "a bigint, b bigint").distinct()
-        links = links.unionByName(similar(written(apart, "near-apart", codec="none"), "near-more-links"))
+        for turn in range(1, LEADERS + 2):
+            of = texts.select("nid", "fp").join(components(links).withColumnRenamed("node", "nid"), "nid", "left")
+            of = shared.select("key", "nid").join(of, "nid").select("key", F.coalesce("component", "nid").alias("g"), "fp", "nid")
+            # Keys whose texts all lie in one group have nothing left to compare.
+            mixed = of.selectExpr("*", "min(g) OVER (PARTITION BY key) AS low", "max(g) OVER (PARTITION BY key) AS high").where("low <> high").select("key", "g", "fp", "nid")
+            mixed = written(mixed, "near-mixed", codec="none")
+            if turn <= LEADERS:
+                lead = mixed.groupBy("key").agg(F.min_by(F.struct("nid", "g", "fp"), F.xxhash64(F.lit(turn), F.col("nid"))).alias("lead"))
+                met = mixed.join(lead, "key").where(F.col("g") != F.col("lead.g"))
+                met = met.select(F.col("nid").alias("b"), F.col("lead.nid").alias("a"), F.bit_count(F.col("fp").bitwiseXOR(F.col("lead.fp"))).alias("bits")).where(F.col("bits") <= radius).distinct()
+                # Of a text's leaders the nearest few, so that a turn costs in proportion to the texts.
+                pairs = met.groupBy("b").agg(F.slice(F.array_sort(F.collect_list(F.struct("bits", "a"))), 1, NEAREST).alias("x")).select(F.explode("x.a").alias("a"), "b")
+            else:
+                heads = prints.select("nid", "size", F.slice("keys", 1, HEAD).alias("head"))
+                apart = mixed.join(heads, "nid").select("key", "g", "fp", "nid", "size", "head").repartition("key").sortWithinPartitions("key", "g")
+                apart = apart.mapInArrow(by_bucket(6, 1, _apart(radius, similarity)), "a bigint, b bigint")
+                pairs = written(apart.distinct(), "near-apart", codec="none")
+            links = links.unionByName(similar(pairs, "near-more-links"))
         of = prints.select("nid", "doc_id", "th").join(components(links).withColumnRenamed("node", "nid"), "nid").select("doc_id", "th", "component")
         least = of.groupBy("component").agg(F.min("doc_id").alias("component_id"))
         return written(of.join(least, "component").select("doc_id", "th", "component_id"), "near-groups", codec="none", keep=True)

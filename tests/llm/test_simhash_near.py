@@ -29,10 +29,11 @@ def changed(rng, text, n):
     return " ".join(words)
 
 
-@pytest.mark.parametrize("seed", [5, 6])
-def test_near_copies_equal_brute_force(spark, seed):
+@pytest.mark.parametrize(("seed", "frequent"), [(5, 2), (6, 10**9)])
+def test_near_copies_equal_brute_force(spark, monkeypatch, seed, frequent):
     import corpus_pipeline
 
+    monkeypatch.setattr(simhash_near, "FREQUENT", frequent)
     rng = random.Random(seed)
     common = " ".join(f"c{i}" for i in range(30))
     base = [" ".join(f"w{rng.randrange(5000)}" for _ in range(rng.choice([1, 4, 6, 12, 40, 150, 300]))) for _ in range(30)]
@@ -62,3 +63,28 @@ def test_three_changed_words_of_300_are_near(spark):
     df = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(other)), (None, "a b c"), (None, "a b c"), (3, "a b c")], "doc_id bigint, text string")
     assert sorted((r.doc_id for r in corpus_pipeline.near_copies(spark, df, "").collect()), key=str) == [1, 3, None, None]
     assert corpus_pipeline.near_copies(spark, df.limit(0), "").count() == 0
+
+
+def test_possible_never_rules_out_a_similar_pair():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    for _ in range(300):
+        n = int(rng.integers(1, 300))
+        a = rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2)
+        b = a.copy()
+        change = rng.integers(0, n, int(rng.integers(0, n // 8 + 1)))
+        b[change] = rng.integers(0, 1 << 63, len(change), dtype=np.uint64)
+        b = np.unique(np.concatenate([b, rng.integers(0, 1 << 63, int(rng.integers(0, n // 8 + 1)), dtype=np.uint64)]))
+        a = np.unique(a)
+        known = np.sort(rng.choice(a, n // 2).view(np.int64))
+        counts = rng.integers(5, 50, len(known))
+        sets = [set(x.tolist()) for x in (a, b)]
+        similar = len(sets[0] & sets[1]) >= 0.8 * len(sets[0] | sets[1])
+        prefixes = [simhash_near.first_shingles(x, known, counts, 0.8) for x in (a, b)]
+        heads = np.full((2, simhash_near.HEAD), np.iinfo(np.int64).max)
+        for row, own in zip(heads, prefixes):
+            row[: min(len(own), simhash_near.HEAD)] = own[: simhash_near.HEAD]
+        fits = simhash_near.possible(*simhash_near.ranked(heads), np.array([len(a), len(b)]), np.array([0]), np.array([1]), 0.8)[0]
+        assert fits or not similar
+        assert not similar or set(prefixes[0].tolist()) & set(prefixes[1].tolist())
