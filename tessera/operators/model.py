@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 LOW, HIGH = 1e-6, 1 - 1e-6
@@ -52,12 +54,26 @@ def score(model: PipelineModel, pairs: DataFrame, into: str = "p1") -> DataFrame
 
 
 def ensemble(train: DataFrame, pairs: DataFrame, features: list[str], kinds: tuple[str, ...] = ("gbt", "forest", "logistic"), into: str = "p1") -> DataFrame:
-    """The mean of the members' probabilities: the same whatever slice is scored."""
+    """The mean of the members' ranks, each scaled to 0..1 over the pairs."""
     out = pairs
     for kind in kinds:
-        out = score(fit(train, features, kind), out, f"_{kind}")
-    mean = sum((F.col(f"_{k}") for k in kinds), F.lit(0.0)) / len(kinds)
-    return out.withColumn(into, mean).drop(*[f"_{k}" for k in kinds])
+        out = score(fit(train, features, kind), out, f"_{kind}").withColumn(f"_{kind}", F.round(f"_{kind}", 6))
+        out = rank_norm(out, f"_{kind}", f"_r_{kind}")
+    mean = sum((F.col(f"_r_{k}") for k in kinds), F.lit(0.0)) / len(kinds)
+    return out.withColumn(into, mean).drop(*[f"{x}{k}" for k in kinds for x in ("_", "_r_")])
+
+
+def save_bundle(model: PipelineModel, path: str, features: list[str], **meta) -> None:
+    """A fitted model with its feature list and metadata, in a folder; an existing one stays and is an error."""
+    spark = SparkSession.getActiveSession()
+    model.save(f"{path}/model")
+    spark.createDataFrame([(json.dumps({"features": features, "meta": meta}),)], "value string").coalesce(1).write.text(f"{path}/about")
+
+
+def load_bundle(path: str) -> tuple[PipelineModel, list[str], dict]:
+    """(model, features, metadata) as `save_bundle` left them."""
+    about = json.loads(SparkSession.getActiveSession().read.text(f"{path}/about").first()["value"])
+    return PipelineModel.load(f"{path}/model"), about["features"], about["meta"]
 
 
 def importances(model: PipelineModel, features: list[str]) -> list[tuple[str, float]]:

@@ -18,11 +18,11 @@ _QUERIES: dict[str, Query] = {}
 _SQL: dict[str, str] = {}
 
 
-def register(name: str, statement: str | None = None):
+def register(name: str, statement: str | None = None, recursive: bool = False):
     def add(f: Query) -> Query:
         _QUERIES[name] = f
         if statement is not None:
-            _SQL[name] = sql.query(statement)
+            _SQL[name] = sql.query(statement).replace("WITH ", "WITH RECURSIVE ", 1) if recursive else sql.query(statement)
         return f
 
     return add
@@ -595,7 +595,7 @@ def expected_f_curve(s, d):
 
 @register(
     "decide_expected_f",
-    f"{_EV_SQL}, best AS (SELECT q_id, arg_min(k, (-round(ev, 9), k)) AS k, max(round(ev, 9)) AS ev FROM ev GROUP BY q_id) SELECT q_id, CAST(k AS INTEGER) AS k, round(ev, 6) AS expected_f FROM best",
+    f"{_EV_SQL}, best AS (SELECT q_id, arg_min(k, (-round(ev, 9), k)) AS k, arg_min(ev, (-round(ev, 9), k)) AS ev FROM ev GROUP BY q_id) SELECT q_id, CAST(k AS INTEGER) AS k, round(ev, 6) AS expected_f FROM best",
 )
 def decide_expected_f(s, d):
     return decide.decide(_scored(s, d)).select("q_id", "k", F.round("expected_f", 6).alias("expected_f"))
@@ -790,8 +790,9 @@ _DIFF_SQL = """diff AS (SELECT q_id, c_id, xs, ys FROM (SELECT t.q_id, t.c_id, l
 marg AS (SELECT token, count(*) AS n FROM (SELECT unnest(xs || ys) AS token FROM diff) GROUP BY token),
 each AS (SELECT x, unnest(ys) AS y FROM (SELECT unnest(xs) AS x, ys FROM diff)),
 sl AS (SELECT x, y, CASE WHEN length(x) <= length(y) THEN x ELSE y END AS sh, CASE WHEN length(x) <= length(y) THEN y ELSE x END AS lo FROM each),
-ok AS (SELECT least(x, y) AS a, greatest(x, y) AS b FROM sl WHERE regexp_matches(x, '[0-9]') = regexp_matches(y, '[0-9]')
-  AND (regexp_matches(lo, '^.*' || array_to_string(string_split(sh, ''), '.*') || '.*$') OR (left(x, 3) = left(y, 3) AND length(sh) >= 3) OR (left(x, 1) = left(y, 1) AND length(sh) >= 3))),
+ok AS (SELECT least(x, y) AS a, greatest(x, y) AS b FROM sl WHERE length(sh) >= 2 AND NOT regexp_full_match(x, '[0-9]+') AND NOT regexp_full_match(y, '[0-9]+')
+  AND (list_reduce([1] || list_transform(string_split(sh, ''), lambda c: unicode(c) + 1000), lambda p, c: CASE WHEN p > 0 AND strpos(substr(lo, p), chr(CAST(c - 1000 AS INTEGER))) > 0 THEN p + strpos(substr(lo, p), chr(CAST(c - 1000 AS INTEGER))) ELSE 0 END) > 0
+    OR (left(x, 1) = left(y, 1) AND length(sh) >= 3))),
 joint AS (SELECT a, b, count(*) AS n FROM ok GROUP BY a, b),
 strong AS (SELECT a, b, j.n, round(j.n / sqrt(x.n * y.n), 6) AS score FROM joint j JOIN marg x ON x.token = a JOIN marg y ON y.token = b)"""
 #: Counts asked of the driver's small tables; the engine's default is 15.
@@ -817,10 +818,24 @@ def alias_pairs(s, d):
     return alias.alias_pairs(_diff(s, d), _SMALL_MINING)
 
 
-@register("alias_map")
+@register(
+    "alias_map",
+    f"""WITH {_DIFF_SQL},
+links AS (SELECT a, b FROM strong WHERE n >= 2 AND score >= 0.12e0),
+edges AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach AS (SELECT a AS token, a AS other FROM edges UNION SELECT r.token, e.b FROM reach r JOIN edges e ON r.other = e.a),
+freqs AS (SELECT token, count(*) AS freq FROM (SELECT unnest(addr_alpha) AS token FROM store) GROUP BY token),
+grouped AS (SELECT token, min(other) AS grp FROM reach GROUP BY token),
+best AS (SELECT token, first_value(token) OVER (PARTITION BY grp ORDER BY coalesce(freq, 0) DESC, length(token), token DESC) AS canonical FROM grouped LEFT JOIN freqs USING (token))
+SELECT token, canonical FROM best WHERE token <> canonical""",
+    recursive=True,
+)
 def alias_map(s, d):
-    if s.sparkContext.getCheckpointDir() is None and not s.conf.get("spark.checkpoint.dir", None):
-        s.sparkContext.setCheckpointDir("/tmp/checkpoints")
+    if s.sparkContext.getCheckpointDir() is None:
+        folder = s.conf.get("spark.checkpoint.dir", None)
+        if not folder and s.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        s.sparkContext.setCheckpointDir(folder or "/tmp/checkpoints")
     store = adapter.store(s, d)
     return alias.alias_map(alias.alias_pairs(_diff(s, d), _SMALL_MINING), alias.token_freq(store, "addr_alpha"))
 

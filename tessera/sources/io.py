@@ -7,7 +7,7 @@ import os
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 RAW_COLUMNS = ["entity_id", "business_name", "business_address", "country"]
@@ -123,6 +123,32 @@ def validate_lists(required: DataFrame, lists: DataFrame, known: DataFrame) -> D
     return out
 
 
+def matches_outside_candidates(matches: DataFrame, candidates: DataFrame) -> DataFrame:
+    """q_id, outside: matched ids that the entity's candidates (q_id, ids) lack, for entities that have such."""
+    own = candidates.select("q_id", F.explode("ids").alias("c_id")).distinct()
+    lost = matches.select("q_id", F.explode("ids").alias("c_id")).distinct().join(own, ["q_id", "c_id"], "left_anti")
+    return lost.groupBy("q_id").agg(F.array_sort(F.collect_list("c_id")).alias("outside"))
+
+
+def count_rows(spark: SparkSession, path: str) -> int:
+    """Rows of a Parquet store; no column is read, the counts come from the footers."""
+    return spark.read.option("aggregatePushdown", "true").parquet(path).count()
+
+
+def head(spark: SparkSession, path: str, lines: int = 11) -> list[str]:
+    """The first lines of a text file."""
+    return [r.value for r in read_lines(spark, path).limit(lines).collect()]
+
+
+def sample_entities(entities: DataFrame, most: int, by: str | None = None, id_col: str = "q_id", seed: int = 7) -> DataFrame:
+    """`most` entities, of each value of `by` if given: those whose hashed ids come first, so any partitioning gives the same."""
+    hashed = entities.withColumn("_h", F.xxhash64(F.lit(seed), F.col(id_col)))
+    if by is None:
+        return hashed.orderBy("_h", id_col).limit(most).drop("_h")
+    first = Window.partitionBy(by).orderBy("_h", id_col)
+    return hashed.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= most).drop("_h", "_n")
+
+
 def repair_candidates(candidates: DataFrame, matches: DataFrame) -> DataFrame:
     """candidates (q_id, ids) with the matched ids that they lack appended."""
     joined = candidates.join(matches.select("q_id", F.col("ids").alias("m")), "q_id", "left")

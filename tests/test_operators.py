@@ -173,3 +173,54 @@ def test_service(spark, sf_dir):
     q = scored.first()["q_id"]
     assert engine.ev_curve(q).count() == engine.entity(q).count() + 1
     assert engine.entities(sort="k_star", size=5).count() == 5
+
+
+def test_long_alias_chain_is_one_group(spark):
+    spark.sparkContext.setCheckpointDir("/tmp/checkpoints")
+    names = [f"t{(i * 7919) % 1000:04d}" for i in range(200)]
+    pairs = spark.createDataFrame(list(zip(names, names[1:])), "a string, b string")
+    freq = spark.createDataFrame([(names[57], 9)], "token string, freq bigint")
+    got = {r.token: r.canonical for r in alias.alias_map(pairs, freq).collect()}
+    assert got == {n: names[57] for n in names if n != names[57]}
+    with pytest.raises(RuntimeError):
+        alias.alias_map(pairs, freq, rounds=2)
+
+
+@pytest.mark.parametrize(
+    ("x", "y", "wanted"),
+    [("tx", "texas", True), ("t", "texas", False), ("12", "123", False), ("12", "a12b", False), ("a1", "ab12", True), ("mysore", "mysuru", True), ("ab", "ba", False), ("st", "saint", True), ("a.c", "abc", True), ("no", "north", True), ("(a", "abc", False), ("abc", "xbc", False)],
+)
+def test_plausible(spark, x, y, wanted):
+    df = spark.createDataFrame([(x, y), (y, x)], "x string, y string")
+    assert [r[0] for r in df.select(alias.plausible(df["x"], df["y"])).collect()] == [wanted, wanted]
+
+
+def test_matches_outside_candidates(spark):
+    lists = lambda rows: spark.createDataFrame(rows, "q_id string, ids array<string>")
+    found = io.matches_outside_candidates(lists([("S1-1", ["S2-1", "S3-9"]), ("S1-2", ["S2-2"]), ("S1-3", [])]), lists([("S1-1", ["S2-1"]), ("S1-2", ["S2-2", "S2-3"])]))
+    assert [tuple(r) for r in found.collect()] == [("S1-1", ["S3-9"])]
+
+
+def test_samples_do_not_depend_on_partitions(spark):
+    df = spark.range(500).select(F.concat(F.lit("S1-"), "id").alias("q_id"), (F.col("id") % 2).alias("country"))
+    one, two = (sorted(r.q_id for r in io.sample_entities(x, 20, "country").collect()) for x in (df, df.repartition(9)))
+    assert one == two and len(one) == 40
+    assert io.sample_entities(df, 7).count() == 7 and io.sample_entities(df, 7, seed=8).exceptAll(io.sample_entities(df, 7)).count() > 0
+
+
+def test_bundle_ensemble_and_counts(spark, tmp_path):
+    rows = [(i, float(i % 10), float(i % 3), int(i % 10 > 4)) for i in range(300)]
+    df = spark.createDataFrame(rows, "id int, x double, z double, label int")
+    fitted = model.fit(df, ["x", "z"], "logistic")
+    model.save_bundle(fitted, str(tmp_path / "b"), ["x", "z"], auc=0.5)
+    again, names, meta = model.load_bundle(str(tmp_path / "b"))
+    assert names == ["x", "z"] and meta == {"auc": 0.5}
+    first, second = ([r.p1 for r in model.score(m, df).orderBy("id").collect()] for m in (fitted, again))
+    assert first == second and model.n_parameters(again) == 3
+    mixed = model.ensemble(df, df, ["x", "z"], ("logistic", "forest")).collect()
+    assert min(r.p1 for r in mixed if r.label) > max(r.p1 for r in mixed if not r.label) and all(0 <= r.p1 <= 1 for r in mixed)
+    assert sum(v for _, v in model.importances(model.fit(df, ["x", "z"], "forest"), ["x", "z"])) == pytest.approx(1)
+    df.write.parquet(str(tmp_path / "t"))
+    assert io.count_rows(spark, str(tmp_path / "t")) == 300
+    (tmp_path / "f.txt").write_text("\n".join(map(str, range(40))))
+    assert io.head(spark, str(tmp_path / "f.txt")) == [str(i) for i in range(11)]
