@@ -8,7 +8,7 @@ is hardly ever among the first. Where texts meet, their fingerprints are compare
 within a radius of 18 bits, three standard deviations beyond the bound's 10, and those that are close have their shingles compared.
 
 Each text is first compared with one leader: of the smallest texts of its parts the one it shares
-most with; then, for some turns, texts that meet others of another group with a few leaders drawn anew. Only pairs that are still in
+most with; then texts that meet others of another group with a few leaders drawn anew. Only pairs that are still in
 different groups are then compared bit-sliced, so a large
 group of near copies costs its size and not its square, and no link is lost.
 
@@ -39,8 +39,8 @@ RADIUS = 18
 SAMPLE_DOCS = 10_000
 FREQUENT = 5
 
-#: Turns in which texts still apart meet leaders drawn anew, and how many each; they save work and change no result.
-LEADERS = 4
+#: Turns in which texts still apart meet leaders drawn anew (each moves texts once more), and how many each; they save work and change no result.
+LEADERS = 1
 NEAREST = 4
 #: Of a text's first shingles so many go with it to where pairs are found.
 HEAD = 32
