@@ -40,8 +40,8 @@ SAMPLE_DOCS = 10_000
 FREQUENT = 5
 
 #: Turns in which texts still apart meet leaders drawn anew (each moves texts once more), and how many each; they save work and change no result.
-LEADERS = 1
-NEAREST = 4
+LEADERS = 3
+NEAREST = 2
 #: Of a text's first shingles so many go with it to where pairs are found.
 HEAD = 32
 
