@@ -12,6 +12,36 @@ def with_labels(cands: DataFrame, links: DataFrame) -> DataFrame:
     return cands.join(hit, ["q_id", "c_id"], "left").withColumn("label", F.coalesce("hit", F.lit(0))).drop("hit")
 
 
+def with_key_labels(cands: DataFrame, keys: DataFrame) -> DataFrame:
+    """with_labels where links are equal keys of (id, src, key): no link but those of the candidates is made."""
+    of = keys.where("key IS NOT NULL").groupBy("id", "src").agg(F.collect_set("key").alias("own"))
+    q, c = of.where("src = 1").select(F.col("id").alias("q_id"), F.col("own").alias("_q")), of.where("src > 1").select(F.col("id").alias("c_id"), F.col("own").alias("_c"))
+    both = cands.join(q, "q_id", "left").join(c, "c_id", "left")
+    return both.withColumn("label", F.coalesce(F.arrays_overlap("_q", "_c").cast("int"), F.lit(0))).select(*cands.columns, "label")
+
+
+def linked(keys: DataFrame, queries: bool = True) -> DataFrame:
+    """id, n: records of the other side with one of its keys, for records that have any; pairs are counted by key.
+
+    Only pairs of records that both have several keys, as repeated ids have, are made, to count them once.
+    """
+    rows = keys.where("key IS NOT NULL").select("id", (F.col("src") == 1).alias("q"), "key").distinct()
+    own, other = rows.where(F.col("q") == queries).drop("q"), rows.where(F.col("q") != queries).drop("q")
+    sums = own.join(other.groupBy("key").agg(F.count(F.lit(1)).alias("n")), "key").select("id", "n")
+
+    def several(side: DataFrame, name: str) -> DataFrame:
+        return side.groupBy(F.col("id").alias(name)).agg(F.collect_list("key").alias("key")).where(F.size("key") > 1).select(name, F.explode("key").alias("key"))
+
+    again = several(own, "id").join(several(other, "other"), "key").groupBy("id", "other").agg((1 - F.count(F.lit(1))).alias("n")).select("id", "n")
+    return sums.unionByName(again).groupBy("id").agg(F.sum("n").alias("n"))
+
+
+def key_sizes(entities: DataFrame, keys: DataFrame) -> DataFrame:
+    """truth_sizes of links that are equal keys."""
+    sizes = linked(keys).select(F.col("id").alias("q_id"), F.col("n").alias("t_size"))
+    return entities.join(sizes, "q_id", "left").withColumn("t_size", F.coalesce("t_size", F.lit(0)))
+
+
 def truth_sizes(entities: DataFrame, links: DataFrame) -> DataFrame:
     """Every entity (q_id, country) with t_size, 0 for those without a link."""
     sizes = links.groupBy("q_id").agg(F.count_distinct("c_id").alias("t_size"))
@@ -66,5 +96,9 @@ def truth_structure(sizes: DataFrame) -> DataFrame:
 
 def disjointness(links: DataFrame) -> DataFrame:
     """One row: linked records, those of several entities, the most entities of one."""
-    per = links.groupBy("c_id").agg(F.count_distinct("q_id").alias("n"))
+    return reuse(links.groupBy("c_id").agg(F.count_distinct("q_id").alias("n")))
+
+
+def reuse(per: DataFrame) -> DataFrame:
+    """The row of `disjointness` from n, the entities of each linked record."""
     return per.agg(F.count(F.lit(1)).alias("linked"), F.count_if(F.col("n") > 1).alias("reused"), F.max("n").alias("max_reuse"))
