@@ -96,7 +96,8 @@ def choose(probabilities: np.ndarray, cfg: config.Decision) -> tuple[int, float]
     from dataclasses import replace
 
     values = expected_f(p[:keep], replace(cfg, missing_mass=cfg.missing_mass + float(p[keep:].sum())))
-    k = int(values.argmax())
+    # Expectations that agree to nine decimals are a tie, which the shorter list wins.
+    k = int(np.round(values, 9).argmax())
     return k, float(values[k])
 
 

@@ -71,3 +71,19 @@ def test_repair_gives_a_record_one_entity(spark):
     scored = spark.createDataFrame(rows, "q_id string, c_id string, p double, label int")
     got = {(r.q_id, r.c_id) for r in decide.apply(scored, config.Decision(rule="topk")).collect()}
     assert got == {("q1", "c1"), ("q2", "c2")}
+
+
+def test_equal_expectations_take_the_shorter_list():
+    assert decide.choose(np.array([0.5 + 1e-12]), config.Decision())[0] == 0
+
+
+def test_the_query_looks_at_every_candidate(spark, monkeypatch):
+    """Seventy candidates, more than the 64 of the default setting."""
+    from tessera.plans import catalog
+
+    p = np.linspace(0.9, 0.1, 70)
+    scored = spark.createDataFrame([("q", f"c{i:02d}", float(x)) for i, x in enumerate(p)], "q_id string, c_id string, p double")
+    monkeypatch.setattr(catalog, "_unlabelled", lambda s, d: scored)
+    row = catalog.queries()["decide_expected_f"](spark, "").first()
+    want = decide.expected_f(p, config.Decision())
+    assert (row.k, row.expected_f) == (int(want.argmax()), pytest.approx(want.max(), abs=1e-6))
