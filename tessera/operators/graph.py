@@ -71,7 +71,8 @@ def corroboration(scored: DataFrame, keys: dict[str, str]) -> DataFrame:
 
     The best of the others is the second best where a row is itself the best.
     """
-    out, columns = scored, ["q_id", "c_id"]
+    # Dealt by the entity once, which serves the windows of all keys.
+    out, columns = scored.select("q_id", "c_id", "p", *dict.fromkeys(keys.values())).repartition("q_id"), ["q_id", "c_id"]
     for name, key in keys.items():
         has = F.col(key) != ""
         own = Window.partitionBy("q_id", key)

@@ -32,8 +32,9 @@ def linked(keys: DataFrame, queries: bool = True) -> DataFrame:
     def several(side: DataFrame, name: str) -> DataFrame:
         return side.groupBy(F.col("id").alias(name)).agg(F.collect_list("key").alias("key")).where(F.size("key") > 1).select(name, F.explode("key").alias("key"))
 
-    again = several(own, "id").join(several(other, "other"), "key").groupBy("id", "other").agg((1 - F.count(F.lit(1))).alias("n")).select("id", "n")
-    return sums.unionByName(again).groupBy("id").agg(F.sum("n").alias("n"))
+    again = several(own, "id").join(several(other, "other"), "key").groupBy("id", "other").agg((F.count(F.lit(1)) - 1).alias("twice"))
+    sums = sums.groupBy("id").agg(F.sum("n").alias("n")).join(again.groupBy("id").agg(F.sum("twice").alias("twice")), "id", "left")
+    return sums.select("id", (F.col("n") - F.coalesce("twice", F.lit(0))).alias("n"))
 
 
 def key_sizes(entities: DataFrame, keys: DataFrame) -> DataFrame:
