@@ -185,16 +185,16 @@ def _pairs_within(radius: int, blocks: int):
     return by_bucket(4, 2, compare)
 
 
-def by_bucket(width: int, key: int, work):
-    """Runs `work` over batches of `width` columns sorted by their first `key` columns, CHUNK rows or so at a time, no bucket in two."""
+def by_bucket(width: int, key: int, work, most_bytes: int | None = None):
+    """Runs `work` over batches of `width` columns sorted by their first `key` columns, CHUNK rows or `most_bytes` or so at a time, no bucket in two."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[np.ndarray]] = []
         size = 0
         for batch in batches:
             held.append([batch.column(i).to_numpy(zero_copy_only=False) for i in range(width)])
-            size += batch.num_rows
-            if size < CHUNK:
+            size += batch.nbytes if most_bytes else batch.num_rows
+            if size < (most_bytes or CHUNK):
                 continue
             cols = [np.concatenate(c) for c in zip(*held, strict=True)]
             # The last bucket may go on in the next batch.
@@ -202,7 +202,7 @@ def by_bucket(width: int, key: int, work):
             cut = int(new[-1]) + 1 if len(new) else 0
             if cut:
                 yield work(*(c[:cut] for c in cols))
-            held, size = [[c[cut:] for c in cols]], len(cols[0]) - cut if cut else 0
+            held, size = [[c[cut:] for c in cols]], len(cols[0]) - cut if cut and not most_bytes else 0
         if held:
             yield work(*(np.concatenate(c) for c in zip(*held, strict=True)))
 

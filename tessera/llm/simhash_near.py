@@ -9,8 +9,9 @@ within a radius of 18 bits, three standard deviations beyond the bound's 10, and
 
 Each text is first compared with one leader: of the smallest texts of its parts the one it shares
 most with; then texts that meet others of another group with a few leaders drawn anew. Only pairs that are still in
-different groups are then compared bit-sliced, so a large
-group of near copies costs its size and not its square, and no link is lost.
+different groups are then compared bit-sliced. Of those no pair leaves its task: a first pass gives out the texts that have one
+that may be similar, a second gets these with their whole text, compares the shingles and gives out no more links than join the
+groups of a key. So rows grow with the texts that share a key and not with their pairs, and no link is lost.
 
 Defined cases: null and empty texts, and texts of white space, have one empty shingle; fewer than
 five words are one shingle; ASCII case is ignored; rows without an id link others and stay; rows
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import column_bytes, free_name, scratch, slices, written
+from .common import SLICE_BYTES, column_bytes, free_name, scratch, slices, written
 from .components import components
 from .simhash import by_bucket, close_pairs, hashes, majority, shingles, text_hash
 
@@ -44,6 +45,8 @@ LEADERS = 3
 NEAREST = 2
 #: Of a text's first shingles so many go with it to where pairs are found.
 HEAD = 32
+#: Bits of a text, each the parity of those shingles whose hash names it.
+PARITY = 512
 
 
 def distinct_shingles(text: bytes, words: int = WORDS) -> set[bytes]:
@@ -79,19 +82,26 @@ def first_shingles(own: np.ndarray, known: np.ndarray, counts: np.ndarray, simil
     return codes[: len(h) - math.ceil(similarity * len(h) - 1e-9) + 1]
 
 
+def parity(own: np.ndarray) -> bytes:
+    """PARITY bits. What two texts share cancels out, so they differ in no more bits than there are shingles that only one has."""
+    return np.packbits(np.bincount((own % np.uint64(PARITY)).astype(np.int64), minlength=PARITY).astype(np.uint8) & 1).tobytes()
+
+
 def _printed(shared, id_col: str, text_col: str, words: int, similarity: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in slices(batches, text_col):
-            prints, sizes, keys = [], [], []
+            prints, sizes, parities, keys = [], [], [], []
             for text in column_bytes(table, text_col):
                 own = hashes(list(distinct_shingles(text, words)))
                 sizes.append(len(own))
                 prints.append(majority(own))
+                parities.append(parity(own))
                 keys.append(first_shingles(own, *shared.value, similarity))
             ends = np.cumsum([0, *map(len, keys)]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(keys)))
             fp = pa.array(np.array(prints, np.uint64).view(np.int64))
-            yield pa.RecordBatch.from_arrays([table.column(id_col).combine_chunks(), table.column("th").combine_chunks(), fp, pa.array(sizes, pa.int64()), lists], names=["doc_id", "th", "fp", "size", "keys"])
+            columns = [table.column(id_col).combine_chunks(), table.column("th").combine_chunks(), fp, pa.array(sizes, pa.int64()), pa.array(parities, pa.binary()), lists]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "th", "fp", "size", "parity", "keys"])
 
     return run
 
@@ -121,23 +131,84 @@ def possible(heads: np.ndarray, last: np.ndarray, sizes: np.ndarray, i: np.ndarr
     return out
 
 
+def first_met(heads: np.ndarray, key: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Whether texts i and j, in one bucket, share none of their first codes below its key; else they have met where that code is the key."""
+    out = np.ones(len(i), bool)
+    for a in range(0, len(i), 4096):
+        x, y = heads[i[a : a + 4096]], heads[j[a : a + 4096]]
+        out[a : a + 4096] = ~((x[:, :, None] == y[:, None, :]).any(axis=2) & (x < key[i[a : a + 4096], None])).any(axis=1)
+    return out
+
+
+def _words(parities: np.ndarray) -> np.ndarray:
+    return np.frombuffer(b"".join(parities), np.uint64).reshape(len(parities), PARITY // 64)
+
+
+def few_differ(parities: np.ndarray, sizes: np.ndarray, i: np.ndarray, j: np.ndarray, similarity: float) -> np.ndarray:
+    """Whether texts i and j can be so similar by the shingles that only one has: at least as many as parity bits that differ, and as their sizes do."""
+    out = np.zeros(len(i), bool)
+    for a in range(0, len(i), 1 << 16):
+        x, y = i[a : a + (1 << 16)], j[a : a + (1 << 16)]
+        least = np.maximum(np.bitwise_count(parities[x] ^ parities[y]).sum(axis=1, dtype=np.int64), np.abs(sizes[x] - sizes[y]))
+        out[a : a + (1 << 16)] = least <= (sizes[x] + sizes[y]) * ((1 - similarity) / (1 + similarity)) + 1e-9
+    return out
+
+
 def _apart(radius: int, similarity: float):
-    """Pairs of a bucket, sorted by key and group, that are in different groups, within the radius and possible."""
+    """Of a bucket, sorted by key and group, the texts that may be similar to one of another group: within the radius and possible."""
 
-    def work(key: np.ndarray, group: np.ndarray, fp: np.ndarray, nid: np.ndarray, size: np.ndarray, head: np.ndarray) -> pa.RecordBatch:
+    def work(key: np.ndarray, group: np.ndarray, fp: np.ndarray, nid: np.ndarray, size: np.ndarray, parities: np.ndarray, head: np.ndarray) -> pa.RecordBatch:
         heads = np.full((len(key), HEAD), np.iinfo(np.int64).max)
         for row, own in zip(heads, head, strict=True):
             row[: len(own)] = own
-        heads, last = ranked(heads)
-        a, b = [], []
+        places, last = ranked(heads)
+        bits, found = _words(parities), np.zeros(len(key), bool)
         for i, j in close_pairs(key, fp.view(np.uint64), list(range(64)), radius):
-            differ = group[i] != group[j]
-            i, j = i[differ], j[differ]
-            fits = possible(heads, last, size, i, j, similarity)
-            x, y = nid[i[fits]], nid[j[fits]]
-            a.append(np.minimum(x, y))
-            b.append(np.maximum(x, y))
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, np.int64), *x])) for x in (a, b)], names=["a", "b"])
+            for wanted in (
+                lambda i, j: group[i] != group[j],
+                lambda i, j: few_differ(bits, size, i, j, similarity),
+                lambda i, j: ~(found[i] & found[j]),
+                lambda i, j: possible(places, last, size, i, j, similarity),
+                lambda i, j: first_met(heads, key, i, j),
+            ):
+                kept = wanted(i, j)
+                i, j = i[kept], j[kept]
+            found[i] = found[j] = True
+        return pa.RecordBatch.from_arrays([pa.array(x[found]) for x in (key, group, fp, nid, size)] + [pa.array(parities[found], pa.binary())], names=["key", "g", "fp", "nid", "size", "parity"])
+
+    return work
+
+
+def _joined(words: int, radius: int, similarity: float):
+    """Of a bucket, sorted by key and group, links that join all groups that a similar pair joins, none twice."""
+
+    def work(key: np.ndarray, group: np.ndarray, fp: np.ndarray, nid: np.ndarray, size: np.ndarray, parities: np.ndarray, text: np.ndarray) -> pa.RecordBatch:
+        ends = np.append(np.flatnonzero(key[1:] != key[:-1]) + 1, len(key))
+        links: list[tuple[int, int]] = []
+        for a, b in zip(np.concatenate([[0], ends[:-1]]), ends, strict=True):
+            own: dict[int, np.ndarray] = {}
+
+            def hashed(i: int) -> np.ndarray:
+                if i not in own:
+                    own[i] = np.unique(hashes(list(distinct_shingles(texts[i].encode(), words))))
+                return own[i]
+
+            label, sizes, texts, bits = group[a:b].copy(), size[a:b], text[a:b], _words(parities[a:b])
+            for i, j in close_pairs(key[a:b], fp[a:b].view(np.uint64), list(range(64)), radius):
+                differ = label[i] != label[j]
+                i, j = i[differ], j[differ]
+                fits = few_differ(bits, sizes, i, j, similarity)
+                for x, y in zip(i[fits].tolist(), j[fits].tolist(), strict=True):
+                    if label[x] == label[y]:
+                        continue
+                    least, p, q = (sizes[x] + sizes[y]) * (similarity / (1 + similarity)) - 1e-9, hashed(x), hashed(y)
+                    # Where no two shingles of a text have one hash, hashes in common are shingles in common or more.
+                    if len(p) == sizes[x] and len(q) == sizes[y] and len(np.intersect1d(p, q, assume_unique=True)) < least:
+                        continue
+                    if len(distinct_shingles(texts[x].encode(), words) & distinct_shingles(texts[y].encode(), words)) >= least:
+                        links.append((nid[a + x], nid[a + y]))
+                        label[label == label[y]] = label[x]
+        return pa.RecordBatch.from_arrays([pa.array([p[k] for p in links], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
     return work
 
@@ -164,7 +235,7 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", word
     with scratch():
         rows = docs.select(F.col(id_col).cast("bigint").alias(id_col), text_col, text_hash(text_col).alias("th"))
         order = docs.sparkSession.sparkContext.broadcast(frequent(docs, text_col, words))
-        prints = rows.mapInArrow(_printed(order, id_col, text_col, words, similarity), "doc_id bigint, th bigint, fp bigint, size bigint, keys array<bigint>")
+        prints = rows.mapInArrow(_printed(order, id_col, text_col, words, similarity), "doc_id bigint, th bigint, fp bigint, size bigint, parity binary, keys array<bigint>")
         prints = written(prints.withColumn("nid", F.monotonically_increasing_id()), "near-prints", codec="none")
         keyed = prints.select(F.explode("keys").alias("key"), "nid")
         met = keyed.selectExpr("key", "nid", "count(*) OVER (PARTITION BY key) AS n", "min(nid) OVER (PARTITION BY key) AS lead").where("n > 1")
@@ -195,12 +266,15 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", word
                 met = met.select(F.col("nid").alias("b"), F.col("lead.nid").alias("a"), F.bit_count(F.col("fp").bitwiseXOR(F.col("lead.fp"))).alias("bits")).where(F.col("bits") <= radius).distinct()
                 # Of a text's leaders the nearest few, so that a turn costs in proportion to the texts.
                 pairs = met.groupBy("b").agg(F.slice(F.array_sort(F.collect_list(F.struct("bits", "a"))), 1, NEAREST).alias("x")).select(F.explode("x.a").alias("a"), "b")
+                more = similar(pairs, "near-more-links")
             else:
-                heads = prints.select("nid", "size", F.slice("keys", 1, HEAD).alias("head"))
-                apart = mixed.join(heads, "nid").select("key", "g", "fp", "nid", "size", "head").repartition("key").sortWithinPartitions("key", "g")
-                apart = apart.mapInArrow(by_bucket(6, 1, _apart(radius, similarity)), "a bigint, b bigint")
-                pairs = written(apart.distinct(), "near-apart", codec="none")
-            links = links.unionByName(similar(pairs, "near-more-links"))
+                heads = prints.select("nid", "size", "parity", F.slice("keys", 1, HEAD).alias("head"))
+                apart = mixed.join(heads, "nid").select("key", "g", "fp", "nid", "size", "parity", "head").repartition("key").sortWithinPartitions("key", "g")
+                apart = apart.mapInArrow(by_bucket(7, 1, _apart(radius, similarity)), "key bigint, g bigint, fp bigint, nid bigint, size bigint, parity binary")
+                whole = written(apart, "near-apart", codec="none").join(texts.select("nid", "tx"), "nid")
+                whole = whole.select("key", "g", "fp", "nid", "size", "parity", "tx").repartition("key").sortWithinPartitions("key", "g")
+                more = written(whole.mapInArrow(by_bucket(7, 1, _joined(words, radius, similarity), 2 * SLICE_BYTES), "a bigint, b bigint"), "near-last-links", codec="none")
+            links = links.unionByName(more)
         of = prints.select("nid", "doc_id", "th").join(components(links).withColumnRenamed("node", "nid"), "nid").select("doc_id", "th", "component")
         least = of.groupBy("component").agg(F.min("doc_id").alias("component_id"))
         return written(of.join(least, "component").select("doc_id", "th", "component_id"), "near-groups", codec="none", keep=True)

@@ -88,3 +88,55 @@ def test_possible_never_rules_out_a_similar_pair():
         fits = simhash_near.possible(*simhash_near.ranked(heads), np.array([len(a), len(b)]), np.array([0]), np.array([1]), 0.8)[0]
         assert fits or not similar
         assert not similar or set(prefixes[0].tolist()) & set(prefixes[1].tolist())
+
+
+def test_rows_grow_with_texts_and_not_with_pairs(spark, monkeypatch):
+    """Texts that share most words, no two similar enough, but for some: the pairs are compared and none is a row."""
+    rows = {}
+    write = simhash_near.written
+
+    def counted(df, name, *args, **how):
+        out = write(df, name, *args, **how)
+        rows[name] = rows.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(simhash_near, "written", counted)
+    passage = " ".join(f"p{i}" for i in range(27))
+    texts = [f"{passage} x{i} y{i} z{i}" for i in range(200)] + [f"{passage} x{i} y{i} other" for i in range(0, 200, 50)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+    got = sorted(r.doc_id for r in simhash_near.drop_near_copies(df).collect())
+    assert got == expected(list(enumerate(texts))) == list(range(200))
+    assert rows["near-apart"] <= len(texts)
+
+
+def test_links_of_the_last_turn_alone(spark, monkeypatch):
+    """Without turns of leaders the last passes find every group that the leaders left apart."""
+    monkeypatch.setattr(simhash_near, "LEADERS", 0)
+    rng = random.Random(9)
+    hub = " ".join(f"h{i}" for i in range(150))
+    texts = [changed(rng, hub, rng.randrange(1, 5)) for _ in range(80)] + [changed(rng, " ".join(f"s{i}" for i in range(40)), 1) for _ in range(40)]
+    docs = list(enumerate(texts))
+    df = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(4)
+    assert sorted(r.doc_id for r in simhash_near.drop_near_copies(df).collect()) == expected(docs)
+
+
+def test_bounds_never_rule_out_a_similar_pair_and_a_pair_is_met_once():
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    for _ in range(300):
+        n = int(rng.integers(1, 400))
+        a = rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2)
+        b = np.unique(np.concatenate([a[int(rng.integers(0, n // 6 + 1)) :], rng.integers(0, 1 << 63, int(rng.integers(0, n // 6 + 1)), dtype=np.uint64)]))
+        a = np.unique(a)
+        similar = len(np.intersect1d(a, b)) >= 0.8 * len(np.union1d(a, b))
+        bits = np.frombuffer(simhash_near.parity(a) + simhash_near.parity(b), np.uint64).reshape(2, -1)
+        one, two = np.array([0]), np.array([1])
+        assert simhash_near.few_differ(bits, np.array([len(a), len(b)]), one, two, 0.8)[0] or not similar
+        heads = np.full((2, simhash_near.HEAD), np.iinfo(np.int64).max)
+        prefixes = [simhash_near.first_shingles(x, np.zeros(0, np.int64), np.zeros(0, np.int64), 0.8)[: simhash_near.HEAD] for x in (a, b)]
+        for row, own in zip(heads, prefixes):
+            row[: len(own)] = own
+        both = sorted(set(prefixes[0].tolist()) & set(prefixes[1].tolist()))
+        met = [simhash_near.first_met(heads, np.array([k, k]), one, two)[0] for k in both]
+        assert met == [k == both[0] for k in both]
