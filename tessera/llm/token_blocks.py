@@ -25,9 +25,11 @@ import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -153,9 +155,12 @@ class Words:
 
     def __init__(self, path: str, memory: int = 200_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        #: The same for lower-case ASCII letters, which the normaliser and the splitter leave as they are.
+        self.plain = Tokenizer.from_file(path)
+        self.plain.normalizer, self.plain.pre_tokenizer = normalizers.Sequence([]), pre_tokenizers.WhitespaceSplit()
         #: A text that has one of these, in any case of ASCII, is encoded whole by the library.
         self.added = [t.content.encode().lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
         suffix = self.tokenizer.model.end_of_word_suffix or ""
@@ -168,44 +173,69 @@ class Words:
         self.memory = memory
 
     def encode(self, text: bytes) -> bytes:
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of each text as little-endian 32-bit integers; a run is looked up once for all of them."""
         # The normaliser lower-cases everything; doing so for ASCII first makes fewer runs differ.
-        lower = text.lower()
-        if any(x in lower for x in self.added):
-            own = self._ids([text.decode()])[0]
-            return struct.pack(f"<{len(own)}I", *own)
-        runs = _TRAILING.sub(rb" \1", lower).split()
+        lower = [x.lower() for x in texts]
+        whole = [i for i, x in enumerate(lower) if any(y in x for y in self.added)]
+        for i in whole:
+            lower[i] = b""
+        parts = pc.ascii_split_whitespace(pa.array([_TRAILING.sub(rb" \1", x) for x in lower], pa.large_string()))
+        # White space at an end leaves an empty run, which has no ids.
+        coded = parts.flatten().cast(pa.large_binary()).dictionary_encode()
+        runs, places = self._found(coded.dictionary.to_pylist()), coded.indices.to_numpy()
+        sizes = np.fromiter(map(len, runs), np.int64, len(runs)) // 4
+        counts = sizes[places]
+        ends = np.concatenate([[0], np.cumsum(counts)])
+        # Where in the runs' ids each id of the texts stands.
+        at = np.repeat((np.cumsum(sizes) - sizes)[places] - ends[:-1], counts) + np.arange(ends[-1])
+        raw = np.frombuffer(b"".join(runs), "<u4")[at].tobytes()
+        bounds = (4 * ends[parts.offsets.to_numpy()]).tolist()
+        out = [raw[a:b] for a, b in pairwise(bounds)]
+        for i in whole:
+            own = self._ids([texts[i].decode()])[0]
+            out[i] = struct.pack(f"<{len(own)}I", *own)
+        return out
+
+    def _found(self, runs: list[bytes]) -> list[bytes]:
+        """The ids of different runs."""
         found = list(map(self.known.get, runs))
-        if None in found:
-            gaps = [i for i, x in enumerate(found) if x is None]
-            new = {runs[i] for i in gaps}
-            if len(self.known) + len(new) > self.memory:
-                self.older, self.known = self.known, {}
-            known, older = self.known, self.older
-            for x in new & older.keys():
-                known[x] = older[x]
-            self._learn([x for x in new if x not in known])
-            for i in gaps:
-                found[i] = known[runs[i]]
-        return b"".join(found)
+        gaps = [i for i, x in enumerate(found) if x is None]
+        if len(self.known) + len(gaps) > self.memory:
+            self.older, self.known = self.known, {}
+        known, older, new = self.known, self.older, []
+        for i in gaps:
+            own = older.get(runs[i])
+            if own is None:
+                new.append(runs[i])
+            else:
+                known[runs[i]] = own
+        for a in range(0, len(new), 4096):
+            self._learn(new[a : a + 4096])
+        for i in gaps:
+            found[i] = known[runs[i]]
+        return found
 
     def _learn(self, new: list[bytes]) -> None:
-        if not new:
-            return
-        texts = [x.decode() for x in new]
-        plain = [i for i, x in enumerate(texts) if x.isalpha()]
+        letters = [x for x in new if x.isalpha()]
+        other = [x for x in new if not x.isalpha()]
+        wide = [x for x in other if x.decode().isalpha()]
         # Runs of letters are one word each: encoded as one text and cut where words end.
-        ids = np.array(self._ids([" ".join([texts[i] for i in plain])])[0], "<u4")
+        cut = self._cut(self.plain, letters) and self._cut(self.tokenizer, wide)
+        rest = [x for x in other if x not in self.known] if cut else new
+        for x, own in zip(rest, self._ids([x.decode() for x in rest]), strict=True):
+            self.known[x] = struct.pack(f"<{len(own)}I", *own)
+
+    def _cut(self, tokenizer, runs: list[bytes]) -> bool:
+        """Whether the text of these runs has as many words; their ids are then known."""
+        ids = np.array(tokenizer.encode_batch_fast([b" ".join(runs).decode()], add_special_tokens=False)[0].ids, "<u4")
         ends = np.flatnonzero(self.ends_word[ids]) + 1
-        if len(ends) == len(plain):
-            raw, at = ids.tobytes(), 0
-            for i, end in zip(plain, ends.tolist(), strict=True):
-                self.known[new[i]] = raw[4 * at : 4 * end]
-                at = end
-            rest = [i for i, x in enumerate(texts) if not x.isalpha()]
-        else:
-            rest = range(len(new))
-        for i, own in zip(rest, self._ids([texts[i] for i in rest]), strict=True):
-            self.known[new[i]] = struct.pack(f"<{len(own)}I", *own)
+        if len(ends) == len(runs):
+            raw, bounds = ids.tobytes(), (4 * ends).tolist()
+            self.known.update(zip(runs, map(raw.__getitem__, map(slice, [0, *bounds], bounds))))
+        return len(ends) == len(runs)
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -235,13 +265,12 @@ def _to_files(path: str, end_id: int, id_col: str, text_col: str, file_ids: int)
                 names=["task", "part", "n_docs", "n_ids", "body"],
             )
 
-        for table in slices(batches, text_col, 2 << 20):
-            for doc, text in zip(table.column(id_col).to_pylist(), column_bytes(table, text_col), strict=True):
-                ids = words.encode(text) + end
+        for table in slices(batches, text_col):
+            for doc, ids in zip(table.column(id_col).to_pylist(), words.encode_all(column_bytes(table, text_col)), strict=True):
                 docs.append(doc)
-                counts.append(len(ids) // 4)
-                held.append(ids)
-                size += len(ids) // 4
+                counts.append(len(ids) // 4 + 1)
+                held += [ids, end]
+                size += len(ids) // 4 + 1
                 if size >= file_ids:
                     yield flush()
                     docs, counts, held, size, part = [], [], [], 0, part + 1
