@@ -26,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -101,7 +102,8 @@ def _printed(shared, id_col: str, text_col: str, words: int, similarity: float):
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(keys)))
             fp = pa.array(np.array(prints, np.uint64).view(np.int64))
             columns = [table.column(id_col).combine_chunks(), table.column("th").combine_chunks(), fp, pa.array(sizes, pa.int64()), pa.array(parities, pa.binary()), lists]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "th", "fp", "size", "parity", "keys"])
+            whole = pc.fill_null(table.column(text_col).combine_chunks(), "").cast(pa.string())
+            yield pa.RecordBatch.from_arrays([*columns, whole], names=["doc_id", "th", "fp", "size", "parity", "keys", "tx"])
 
     return run
 
@@ -235,27 +237,27 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", word
     with scratch():
         rows = docs.select(F.col(id_col).cast("bigint").alias(id_col), text_col, text_hash(text_col).alias("th"))
         order = docs.sparkSession.sparkContext.broadcast(frequent(docs, text_col, words))
-        prints = rows.mapInArrow(_printed(order, id_col, text_col, words, similarity), "doc_id bigint, th bigint, fp bigint, size bigint, parity binary, keys array<bigint>")
-        prints = written(prints.withColumn("nid", F.monotonically_increasing_id()), "near-prints", codec="none")
+        prints = rows.mapInArrow(_printed(order, id_col, text_col, words, similarity), "doc_id bigint, th bigint, fp bigint, size bigint, parity binary, keys array<bigint>, tx string")
+        # The texts lie beside their fingerprints, so that only those of pairs that may be similar move.
+        prints = written(prints.withColumn("nid", F.monotonically_increasing_id()), "near-prints")
         keyed = prints.select(F.explode("keys").alias("key"), "nid")
         met = keyed.selectExpr("key", "nid", "count(*) OVER (PARTITION BY key) AS n", "min(nid) OVER (PARTITION BY key) AS lead").where("n > 1")
         shared = written(met.select("key", "nid", "lead"), "near-keys", codec="none")
-        members = prints.select("nid", "doc_id", "th", "fp").join(shared.select("nid").distinct(), "nid", "left_semi")
-        plain = docs.select(F.col(id_col).cast("bigint").alias("id_x"), text_hash(text_col).alias("th_x"), F.coalesce(F.col(text_col), F.lit("")).alias("tx"))
-        named = members.join(plain, members["doc_id"].eqNullSafe(plain["id_x"]) & (members["th"] == plain["th_x"]))
-        # Rows that repeat id and text are the same text, whichever comes.
-        texts = written(named.select("nid", "fp", "tx").dropDuplicates(["nid"]), "near-texts")
-        a, b = (texts.select(F.col("nid").alias(x), F.col("tx").alias(f"t{x}"), F.col("fp").alias(f"f{x}")) for x in "ab")
+        fa, fb = (prints.select(F.col("nid").alias(x), F.col("fp").alias(f"f{x}"), F.col("size").alias(f"n{x}")) for x in "ab")
 
         def similar(pairs: DataFrame, name: str) -> DataFrame:
-            both = pairs.join(b, "b").join(a, "a").where(F.bit_count(F.col("fa").bitwiseXOR(F.col("fb"))) <= radius)
-            return written(both.select("a", "b", "ta", "tb").mapInArrow(_verify(words, similarity), "a bigint, b bigint"), name, codec="none")
+            may = (F.bit_count(F.col("fa").bitwiseXOR(F.col("fb"))) <= radius) & (F.abs(F.col("na") - F.col("nb")) <= (F.col("na") + F.col("nb")) * ((1 - similarity) / (1 + similarity)) + 1e-9)
+            close = written(pairs.join(fb, "b").join(fa, "a").where(may).select("a", "b"), "near-pairs", codec="none")
+            needed = prints.select("nid", "tx").join(close.select(F.explode(F.array("a", "b")).alias("nid")).distinct(), "nid", "left_semi")
+            ta, tb = (needed.select(F.col("nid").alias(x), F.col("tx").alias(f"t{x}")) for x in "ab")
+            both = close.join(tb, "b").join(ta, "a").select("a", "b", "ta", "tb")
+            return written(both.mapInArrow(_verify(words, similarity), "a bigint, b bigint"), name, codec="none")
 
         tried = shared.where("nid <> lead").groupBy("nid", "lead").count()
         best = tried.groupBy("nid").agg(F.max_by("lead", F.struct("count", -F.col("lead"))).alias("a")).select("a", F.col("nid").alias("b"))
         links = similar(best, "near-links")
         for turn in range(1, LEADERS + 2):
-            of = texts.select("nid", "fp").join(components(links).withColumnRenamed("node", "nid"), "nid", "left")
+            of = prints.select("nid", "fp").join(components(links).withColumnRenamed("node", "nid"), "nid", "left")
             of = shared.select("key", "nid").join(of, "nid").select("key", F.coalesce("component", "nid").alias("g"), "fp", "nid")
             # Keys whose texts all lie in one group have nothing left to compare.
             mixed = of.selectExpr("*", "min(g) OVER (PARTITION BY key) AS low", "max(g) OVER (PARTITION BY key) AS high").where("low <> high").select("key", "g", "fp", "nid")
@@ -271,7 +273,7 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", word
                 heads = prints.select("nid", "size", "parity", F.slice("keys", 1, HEAD).alias("head"))
                 apart = mixed.join(heads, "nid").select("key", "g", "fp", "nid", "size", "parity", "head").repartition("key").sortWithinPartitions("key", "g")
                 apart = apart.mapInArrow(by_bucket(7, 1, _apart(radius, similarity)), "key bigint, g bigint, fp bigint, nid bigint, size bigint, parity binary")
-                whole = written(apart, "near-apart", codec="none").join(texts.select("nid", "tx"), "nid")
+                whole = written(apart, "near-apart", codec="none").join(prints.select("nid", "tx"), "nid")
                 whole = whole.select("key", "g", "fp", "nid", "size", "parity", "tx").repartition("key").sortWithinPartitions("key", "g")
                 more = written(whole.mapInArrow(by_bucket(7, 1, _joined(words, radius, similarity), 2 * SLICE_BYTES), "a bigint, b bigint"), "near-last-links", codec="none")
             links = links.unionByName(more)

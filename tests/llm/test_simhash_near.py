@@ -140,3 +140,27 @@ def test_bounds_never_rule_out_a_similar_pair_and_a_pair_is_met_once():
         both = sorted(set(prefixes[0].tolist()) & set(prefixes[1].tolist()))
         met = [simhash_near.first_met(heads, np.array([k, k]), one, two)[0] for k in both]
         assert met == [k == both[0] for k in both]
+
+
+def test_texts_that_are_not_similar_stay_where_they_are(spark):
+    """Texts that share shingles without being near take no room in a shuffle."""
+    gateway = spark.sparkContext._gateway
+    store, bus = spark.sparkContext._jsc.sc().statusStore(), spark.sparkContext._jsc.sc().listenerBus()
+
+    def written_bytes():
+        bus.waitUntilEmpty(30_000)
+        stages = store.stageList(None, False, False, gateway.new_array(gateway.jvm.double, 0), gateway.jvm.java.util.ArrayList())
+        return {stages.apply(i).stageId(): stages.apply(i).shuffleWriteBytes() for i in range(stages.size())}
+
+    rng = random.Random(8)
+    # Passages of three texts, which is not yet frequent.
+    passages = [" ".join(f"{rng.getrandbits(400):0100x}" for _ in range(200)) for _ in range(10)]
+    texts = [" ".join([passages[i % 10], *(f"{rng.getrandbits(400):0100x}" for _ in range(400))]) for i in range(30)]
+    texts.append(texts[0] + " tail")
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(4)
+    df = df.localCheckpoint()
+    before = written_bytes()
+    links = simhash_near.groups(df)
+    assert sorted((r.doc_id, r.component_id) for r in links.collect()) == [(0, 0), (30, 0)]
+    moved = sum(n for stage, n in written_bytes().items() if stage not in before)
+    assert moved < sum(map(len, texts)) / 2
