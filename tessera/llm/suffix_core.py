@@ -13,7 +13,7 @@ import numpy as np
 
 LENGTH = 100
 GRAM = 24
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 
 _RNG = np.random.default_rng(20240229)
 _BYTE = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -107,17 +107,17 @@ def common_lengths(hashes: np.ndarray, raw: np.ndarray, x: np.ndarray, y: np.nda
 def verified(raw: np.ndarray, x: np.ndarray, y: np.ndarray, length: np.ndarray) -> np.ndarray:
     """How many of the first `length` bytes at x and y really agree."""
     out = length.copy()
-    for a in range(0, len(x), 1 << 15):
-        n = length[a : a + (1 << 15)]
+    for a in range(0, len(x), 1 << 13):
+        n = length[a : a + (1 << 13)]
         width = int(n.max(initial=0))
         if not width:
             continue
         step = np.arange(width)
-        p = np.minimum(x[a : a + (1 << 15), None] + step, len(raw) - 1)
-        q = np.minimum(y[a : a + (1 << 15), None] + step, len(raw) - 1)
+        p = np.minimum(x[a : a + (1 << 13), None] + step, len(raw) - 1)
+        q = np.minimum(y[a : a + (1 << 13), None] + step, len(raw) - 1)
         differ = (raw[p] != raw[q]) & (step < n[:, None])
         at = differ.argmax(axis=1)
-        out[a : a + (1 << 15)] = np.where(differ.any(axis=1), at, n)
+        out[a : a + (1 << 13)] = np.where(differ.any(axis=1), at, n)
     return out
 
 

@@ -41,6 +41,8 @@ _REP = ("<u8", "<i8", "<u4", "u1", "u1")
 _CONTEXT = ("<u8", "<i8", "<u4", "u1", "u1", "u1")
 #: Bytes of text whose anchors are combined before they leave a map task.
 COMBINE_BYTES = 8 << 20
+#: Contexts that are sorted and compared at a time; a gram with more is one lot of its own.
+LOT_CONTEXTS = 4096
 
 
 def _bucket(key: np.ndarray, buckets: int) -> np.ndarray:
@@ -227,17 +229,19 @@ def repeated_strings(raw: np.ndarray, begin: np.ndarray, length: np.ndarray, gra
         by = np.lexsort((start, d[own], left, run))
         fresh = np.concatenate([[True], (run[by][1:] != run[by][:-1]) | (left[by][1:] != left[by][:-1])])
         lead = by[np.maximum.accumulate(np.where(fresh, np.arange(len(by)), 0))]
-        rows.append(own[by[~fresh]])
-        sources.append(own[lead[~fresh]])
-        offsets.append(np.full(len(rows[-1]), j))
-    if not rows:
+        rows.append(own[by[~fresh]].astype(np.int32))
+        sources.append(own[lead[~fresh]].astype(np.int32))
+        offsets.append(np.full(len(rows[-1]), j, np.uint8))
+    if not any(map(len, rows)):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     row, source, j = np.concatenate(rows), np.concatenate(sources), np.concatenate(offsets)
+    del rows, sources, offsets
     # What is left of the anchor was compared by hash: verify the longest of each pair.
     pair = np.lexsort((j, source, row))
     last = np.concatenate([(row[pair][1:] != row[pair][:-1]) | (source[pair][1:] != source[pair][:-1]), [True]])
     far = pair[last]
-    wrong = core.verified(raw, at[row[far]] - j[far], at[source[far]] - j[far], j[far]) < j[far]
+    most = j[far].astype(np.int64)
+    wrong = core.verified(raw, at[row[far]] - most, at[source[far]] - most, most) < most
     if wrong.any():
         clash = np.unique(g[row[far[wrong]]])
         keep = ~np.isin(g[row], clash)
@@ -258,11 +262,29 @@ def repeated_strings(raw: np.ndarray, begin: np.ndarray, length: np.ndarray, gra
 def _resolve_contexts(buckets: int):
     def work(bucket: int, held: dict[int, list[bytes]]) -> Iterator[pa.RecordBatch]:
         loaded = [load(p, _CONTEXT) for p in held[CONTEXT]]
-        gram, doc, first, back, span, length = (np.concatenate([x[0][i] for x in loaded]) for i in range(6))
+        columns = [np.concatenate([x[0][i] for x in loaded]) for i in range(6)]
         raw = np.frombuffer(b"".join(unzip(x[1]) for x in loaded), np.uint8)
-        ends = np.cumsum(length.astype(np.int64))
-        row, start = repeated_strings(raw, ends - length, length, gram, doc, first, back, span)
-        yield from batches_of(_flags(doc[row], start, start + core.LENGTH, buckets))
+        del loaded
+        held.clear()
+        gram, size = columns[0], columns[5].astype(np.int64)
+        begin = np.cumsum(size) - size
+        order = np.argsort(gram, kind="stable")
+        own = gram[order]
+        ends = np.append(np.flatnonzero(own[1:] != own[:-1]) + 1, len(own))
+
+        def rows():
+            a = 0
+            while a < len(order):
+                # Whole grams, as many as fit.
+                b = int(ends[max(np.searchsorted(ends, a + LOT_CONTEXTS, "right") - 1, np.searchsorted(ends, a, "right"))])
+                some = order[a:b]
+                tail = raw[_spread(begin[some], size[some])]
+                key, doc, first, back, span, length = (x[some] for x in columns)
+                row, start = repeated_strings(tail, np.cumsum(size[some]) - size[some], length, key, doc, first, back, span)
+                yield from _flags(doc[row], start, start + core.LENGTH, buckets)
+                a = b
+
+        yield from batches_of(rows())
 
     return work
 
